@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate as dec, quality_rules as rules
+from pyspark.sql import functions as F
+
+from . import decontaminate as dec, quality_rules as rules, reshard as sharding, url_filter as urls
 from .common import table
 
 
@@ -15,5 +17,17 @@ def op4_decontaminate(spark, sf_dir):
     return dec.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op4_decontaminate": op4_decontaminate}
-ORACLES = {"op4_decontaminate": dec.ORACLE}
+def op6_url_filter(spark, sf_dir):
+    return urls.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_reshard(spark, sf_dir):
+    """Twelve old shards by the doc_id's crc32, as an earlier run might have left them, become sixteen of even bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    old = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 12
+    out = sharding.reshard(docs, old)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_decontaminate, op6_url_filter, op8_reshard)}
+ORACLES = {"op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
