@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate as dec, quality_rules as rules, reshard as sharding, url_filter as urls
+from . import decontaminate as dec, packing, quality_rules as rules, reshard as sharding, url_filter as urls
 from .common import table
 
 
@@ -17,6 +18,10 @@ def op4_decontaminate(spark, sf_dir):
     return dec.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op5_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op6_url_filter(spark, sf_dir):
     return urls.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -29,5 +34,5 @@ def op8_reshard(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_decontaminate, op6_url_filter, op8_reshard)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_decontaminate, op5_packing, op6_url_filter, op8_reshard)}
 ORACLES = {"op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
