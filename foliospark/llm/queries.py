@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate as dec, packing, quality_rules as rules, reshard as sharding, url_filter as urls
-from .common import table
+from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, url_filter as urls
+from .common import crc_mod, table
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -14,6 +14,13 @@ def op1_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op3_quality_gam(spark, sf_dir):
+    held = crc_mod(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").where(~held).select("doc_id", F.col("quality").alias("label"))
+    out = gam.quality_gam(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_decontaminate(spark, sf_dir):
     return dec.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -26,6 +33,13 @@ def op6_url_filter(spark, sf_dir):
     return urls.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = crc_mod(F.col("doc_id"), 3) == 1
+    out = lid.language_id(docs.drop("lang"), docs.where(~held))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op8_reshard(spark, sf_dir):
     """Twelve old shards by the doc_id's crc32, as an earlier run might have left them, become sixteen of even bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,5 +48,5 @@ def op8_reshard(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_decontaminate, op5_packing, op6_url_filter, op8_reshard)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard)}
 ORACLES = {"op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
