@@ -27,7 +27,7 @@ MAX_FIT, MAX_LANGS = 3_000, 200
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def bucket_stream(buffer: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_stream(buffer: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...] = GRAMS, bits: int = 13) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each n-gram size: the buckets of the grams that stay inside a text, and each text's number of them.
 
     buffer: the texts' bytes one after another; ends: where each text ends.
@@ -37,18 +37,18 @@ def bucket_stream(buffer: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.nda
     low[low <= 32] = 32
     begins = np.concatenate([[0], ends[:-1]])
     gram, shift = low.copy(), 1
-    for n in range(2, max(GRAMS) + 1):
+    for n in range(2, max(sizes) + 1):
         while shift < n:
             gram = gram[:-1] * np.uint32(257) + low[shift:]
             shift += 1
-        if n in GRAMS:
+        if n in sizes:
             count = np.maximum(ends - begins - n + 1, 0)
             inside = np.ones(len(gram), dtype=bool)
             for k in range(1, n):  # grams that reach over an end
                 over = ends - k
                 inside[over[(over >= 0) & (over < len(gram))]] = False
             mixed = gram * np.uint32(2654435761 + 2 * n & 0xFFFFFFFF)
-            yield ((mixed >> np.uint32(19)) % np.uint32(BUCKETS))[inside], count
+            yield (mixed >> np.uint32(32 - bits))[inside], count
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, url_filter as urls
+from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, toxicity as tox, url_filter as urls
 from .common import crc_mod, table
 
 
@@ -48,5 +48,12 @@ def op8_reshard(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard)}
+def op9_toxicity(spark, sf_dir):
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held).select("doc_id", F.col("toxic").alias("label"))
+    out = tox.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard, op9_toxicity)}
 ORACLES = {"op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
