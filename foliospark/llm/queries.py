@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, toxicity as tox, url_filter as urls
+from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, substring_dedup as sub, toxicity as tox, url_filter as urls
 from .common import crc_mod, table
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return sub.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_gam(spark, sf_dir):
     held = crc_mod(F.col("doc_id"), 3) == 1
     labels = table(spark, sf_dir, "labels").where(~held).select("doc_id", F.col("quality").alias("label"))
@@ -55,5 +59,5 @@ def op9_toxicity(spark, sf_dir):
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard, op9_toxicity)}
-ORACLES = {"op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard, op9_toxicity)}
+ORACLES = {"op2_substring_dedup": sub.ORACLE, "op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
