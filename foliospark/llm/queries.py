@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate as dec, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, substring_dedup as sub, toxicity as tox, url_filter as urls
+from . import decontaminate as dec, jaccard_join as jac, language_id as lid, packing, quality_gam as gam, quality_rules as rules, reshard as sharding, substring_dedup as sub, toxicity as tox, url_filter as urls
 from .common import crc_mod, table
 
 
@@ -59,5 +59,9 @@ def op9_toxicity(spark, sf_dir):
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard, op9_toxicity)}
+def op10_jaccard_join(spark, sf_dir):
+    return jac.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_gam, op4_decontaminate, op5_packing, op6_url_filter, op7_language_id, op8_reshard, op9_toxicity, op10_jaccard_join)}
 ORACLES = {"op2_substring_dedup": sub.ORACLE, "op4_decontaminate": dec.ORACLE, "op6_url_filter": urls.oracle()}
