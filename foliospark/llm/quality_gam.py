@@ -145,14 +145,23 @@ def feature_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, x array<double>")
 
 
+def fit_rows(known: DataFrame) -> Gam:
+    """The model of rows with label and x; sorted, so that the order of arrival doesn't matter."""
+    rows = sorted((r["doc_id"], r["label"], r["x"]) for r in known.select("doc_id", "label", "x").collect())
+    return fit(np.array([r[2] for r in rows]).reshape(len(rows), len(FEATURES)), np.array([float(r[1]) for r in rows]))
+
+
+def sampled(labels: DataFrame, most: int) -> DataFrame:
+    """About `most` of the rows with a label and a doc_id at most, by a hash of doc_id."""
+    labels = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "label")
+    n = labels.count()
+    return labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < max(1, (most << 20) // n)) if n > most else labels
+
+
 def quality_gam(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> DataFrame:
     """doc_id and score of every row of docs; labels (doc_id, label 0 or 1) are what may be learned from."""
     at = materialise(feature_table(docs), "quality-gam")
-    known = at.join(labels.where(F.col("label").isin(0, 1)).select("doc_id", "label"), "doc_id")
-    n = known.count()
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < max(1, (most << 20) // n)) if n > most else known
-    rows = sorted((r["doc_id"], r["label"], r["x"]) for r in known.select("doc_id", "label", "x").collect())
-    model = fit(np.array([r[2] for r in rows]).reshape(len(rows), len(FEATURES)), np.array([float(r[1]) for r in rows]))
+    model = fit_rows(at.join(sampled(labels, most), "doc_id"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,3 +169,17 @@ def quality_gam(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(x), pa.float64())], ["doc_id", "score"])
 
     return at.mapInArrow(score, "doc_id long, score double")
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, least: float = 0.5, most: int = MAX_FIT) -> DataFrame:
+    """The rows of docs, all columns, whose score is `least` or more; nothing but the labelled sample's features leaves its task."""
+    chosen = F.broadcast(sampled(labels, most))  # bounded by `most`
+    known = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
+    model = fit_rows(feature_table(known.select("doc_id", "text")).join(chosen, "doc_id"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole):
+                yield batch.filter(pa.array(model.score(features(*text_buffer(batch.column("text")))) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)

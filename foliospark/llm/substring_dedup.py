@@ -237,10 +237,15 @@ def spread(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every row of docs; with kept_text also kept, the kept words joined by blanks."""
+    """doc_id, n_words, n_removed, kept_sha256 of every row of docs.
+
+    kept_text: all columns of docs before these, the text being the kept words joined by blanks where words went,
+    and as it was elsewhere.
+    """
     width = shuffle_width(docs.sparkSession)
     chunks, buckets = 4 * width, width
-    at = docs.select("doc_id", F.col(text).alias("text")).withColumn("c", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    carried = [c for c in docs.columns if c not in ("doc_id", text)] if kept_text else []
+    at = docs.select("doc_id", F.col(text).alias("text"), *(F.col(c).alias(f"x{k}") for k, c in enumerate(carried))).withColumn("c", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
 
     def minimisers(key: tuple, table: pa.Table) -> pa.Table:
         parts = chunk_segments(one_array(table.column("text")))
@@ -334,6 +339,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
         gone = np.cumsum(change)[:-1] > 0
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(gone)])
         removed = total[first + words] - total[first]
+        order = np.argsort(one_array(left.column("doc_id")).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False), kind="stable") if left.num_rows else []
         sums, kept = [], []
         for i, t in enumerate(texts):
             raw = (t.as_py() or "").encode().split()
@@ -342,14 +348,22 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
             raw = b" ".join(raw)
             sums.append(hashlib.sha256(raw).hexdigest())
             if kept_text:
-                kept.append(raw.decode())
-        columns = [pa.array([None if d == NULL_ID else d for d in ids.tolist()], pa.int64()), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(sums, pa.string())]
-        return pa.table(columns + ([pa.array(kept, pa.string())] if kept_text else []), ["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept"] if kept_text else [])])
+                kept.append(raw.decode() if removed[i] else t.as_py())
+        out = {"doc_id": pa.array([None if d == NULL_ID else d for d in ids.tolist()], pa.int64())}
+        if kept_text:
+            out["text"] = pa.array(kept, pa.string())
+            out |= {f"x{k}": one_array(left.column(f"x{k}")).take(pa.array(order, pa.int64())) for k in range(len(carried))} if left.num_rows else {f"x{k}": pa.array([], left.schema.field(f"x{k}").type) for k in range(len(carried))}
+        return pa.table(out | {"n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(sums, pa.string())})
 
     repeated = at.groupBy("c").applyInArrow(minimisers, "b int, c int, found binary, twice binary").groupBy("b").applyInArrow(again, "c int, found binary")
     sent = at.groupBy("c").cogroup(repeated.groupBy("c")).applyInArrow(send, "shard int, c int, minimum binary, doc binary, start binary, n binary, blocks binary")
     found = sent.groupBy("shard").applyInArrow(search, "c int, doc binary, start binary")
-    return at.groupBy("c").cogroup(found.groupBy("c")).applyInArrow(drop, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * kept_text)
+    base = "doc_id long, " + ("text string, " + "".join(f"x{k} {docs.schema[c].dataType.simpleString()}, " for k, c in enumerate(carried)) if kept_text else "")
+    out = at.groupBy("c").cogroup(found.groupBy("c")).applyInArrow(drop, base + "n_words long, n_removed long, kept_sha256 string")
+    if not kept_text:
+        return out
+    back = {"doc_id": "doc_id", text: "text"} | {c: f"x{k}" for k, c in enumerate(carried)}
+    return out.select(*(F.col(back[c]).alias(c) for c in docs.columns), "n_words", "n_removed", "kept_sha256")
 
 
 ORACLE = r"""
