@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from . import blas  # noqa: F401
+
 GRAMS, BUCKETS, DIM = (2, 3, 4), 1 << 13, 16
 MAX_FIT, MAX_LANGS = 3_000, 200
 _LETTER = re.compile(r"[^\W\d_]")

@@ -77,29 +77,32 @@ def solve(lengths: list[int], demand: list[int], size: int = SIZE, rounds: int =
     if not m:
         return []
     length, d = np.array(lengths), np.array(demand, dtype=float)
-    columns = first_patterns(length, d, size)
-    inverse = np.linalg.inv(columns)
+    columns, order = first_patterns(length, d, size)
+    inverse = inverse_of(columns, order)
+    x = (inverse * d).sum(axis=1)
     for _ in range(rounds):
         value, pattern = best_pattern(length, inverse.sum(axis=0), size)
         if value <= 1 + slack:
             break
-        u, x = inverse @ pattern, inverse @ d
+        used = np.flatnonzero(pattern)
+        u = (inverse[:, used] * pattern[used]).sum(axis=1)
         ratios = np.where(u > 1e-9, x / np.where(u > 1e-9, u, 1), np.inf)
         out = int(np.argmin(ratios))
         if not np.isfinite(ratios[out]):
             break
+        x -= u * ratios[out]
+        x[out] = ratios[out]
         row = inverse[out] / u[out]
         inverse -= np.outer(u, row)
         inverse[out] = row
         columns[:, out] = pattern
-    x = inverse @ d
     return [({int(length[i]): int(columns[i, j]) for i in np.flatnonzero(columns[:, j] > 0.5)}, float(x[j])) for j in range(m) if x[j] > 1e-9]
 
 
-def first_patterns(length: np.ndarray, demand: np.ndarray, size: int) -> np.ndarray:
+def first_patterns(length: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, list[int]]:
     """A basis to start from: full patterns of the lengths that are left, long and frequent ones first, each
-    used until one of its lengths runs out. Taken in that order the columns form a triangle."""
-    left, columns = demand.copy(), np.zeros((len(length), len(length)))
+    used until one of its lengths runs out. Taken in that order (returned too) the columns form a triangle."""
+    left, columns, order = demand.copy(), np.zeros((len(length), len(length))), []
     active = np.arange(len(length))
     while len(active):
         much = left[active] / max(left[active].max(), 1e-9)
@@ -110,8 +113,22 @@ def first_patterns(length: np.ndarray, demand: np.ndarray, size: int) -> np.ndar
         out = used[np.argmin(left[used] / pattern[used])]
         left = np.maximum(left - pattern * (left[out] / pattern[out]), 0)
         columns[:, out] = pattern
+        order.append(int(out))
         active = active[active != out]
-    return columns
+    return columns, order
+
+
+def inverse_of(columns: np.ndarray, order: list[int]) -> np.ndarray:
+    """The inverse of first_patterns' basis, by forward elimination: in `order` it is a lower triangle."""
+    at = np.ix_(order, order)
+    a, inverse = columns[at], np.eye(len(order))
+    for k in range(len(order)):
+        inverse[k] /= a[k, k]
+        below = k + 1 + np.flatnonzero(a[k + 1 :, k])
+        inverse[below] -= a[below, k][:, None] * inverse[k]
+    out = np.empty_like(inverse)
+    out[at] = inverse
+    return out
 
 
 def best_pattern(length: np.ndarray, price: np.ndarray, size: int) -> tuple[float, np.ndarray]:

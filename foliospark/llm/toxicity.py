@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from . import blas  # noqa: F401
 from .common import materialise
 from .language_id import blocks, bucket_stream, text_buffer
 from .wordhash import word_table
