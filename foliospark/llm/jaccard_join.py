@@ -13,8 +13,9 @@
 4. Links that hold make components; copies take the component of their class.
 
 No list of a hot token is collected anywhere: lists are aggregated by token before the shuffle and
-pairs with the centre are as many as the list is long. Distances from the centre (1 - similarity, a
-metric) exclude further pairs by the triangle inequality.
+pairs with the centre are as many as the list is long. The answers of two sets with one centre bound
+each other: x and y differ by at least what x and y each differ from the centre, less twice what of
+these differences they may share, which their shingles of one class alone can't be.
 
 Sets are compared by 64-bit hashes of shingles. Defined results: a document without words has an empty
 set and is a component of its own; doc_id is the key: rows that share one are one node (null is a
@@ -164,11 +165,19 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "te
         tested = found if tested is None else tested.union(found)
         links = tested.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b")
         label = materialise(connected_components(links), "jaccard-labels")
-    open_ = open_lists(tokens, label)
-    side = lambda s: open_.select("token", F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), (F.col("n") - F.col("alone") - F.col("pos")).alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.explode(F.array(*((F.col("block") + i) for i in ((0,) if s == "a" else (-1, 0, 1))))).alias("block"))
+    # Every compared set knows how far it is from the smallest set that it was compared with: |x - y| + |y - x| in shingles.
+    away = tested.select("a", "b", (F.col("union") - F.col("inter")).alias("away"))
+    away = away.select(F.col("a").alias("doc_id"), F.col("b").alias("centre"), "away").union(away.select("b", "a", "away"))
+    away = away.union(away.select("doc_id", F.col("doc_id").alias("centre"), F.lit(0).cast("long")).distinct())
+    away = away.groupBy("doc_id").agg(F.min(F.struct("centre", "away")).alias("m")).select("doc_id", "m.centre", "m.away")
+    open_ = materialise(open_lists(tokens, label).join(away, "doc_id", "left"), "jaccard-open")
+    side = lambda s: open_.select("token", F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), (F.col("n") - F.col("alone") - F.col("pos")).alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("centre").alias(f"m{s}"), F.col("away").alias(f"d{s}"), F.greatest(F.lit(0), F.col("away") - F.col("alone")).alias(f"s{s}"), F.explode(F.array(*((F.col("block") + i) for i in ((0,) if s == "a" else (-1, 0, 1))))).alias("block"))
     cross = side("a").join(side("b"), ["token", "block"]).where("a < b and ca <> cb").where(near)
     # ceil(percent / (100 + percent) * (na + nb)) must be shared; from this token on at most leftx are.
     cross = cross.where(F.least("lefta", "leftb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+    # Both differ from one centre by known numbers, of which they can share no more than isn't theirs alone.
+    apart = (F.col("da") + F.col("db") - 2 * F.least("sa", "sb")) * (100 + percent) > (F.col("na") + F.col("nb")) * (100 - percent)
+    cross = cross.where(~F.coalesce((F.col("ma") == F.col("mb")) & apart, F.lit(False)))
     cross = cross.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
     found = materialise(verify(cross, sets, percent), "jaccard-tested")
     links = links.union(found.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b"))
