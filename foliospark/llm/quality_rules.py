@@ -65,7 +65,7 @@ START = {"good": {"-": 0.01, "+": 0.7}, "bad": {"-": 0.3, "+": 0.4}}
 
 #: EM keeps to what a rule means: it is against at most a fiftieth of the good texts and a tenth of the bad
 #: ones at least, and what does not speak against a text moves the log odds by MILD at most.
-MILD = 0.4
+MILD = 0.15
 
 
 def fit_label_model(patterns: dict[str, int], rounds: int = 60) -> tuple[float, list[dict[str, float]]]:
@@ -108,8 +108,8 @@ def posterior(pattern: str, share: float, weights: list[dict[str, float]]) -> fl
 
 
 def quality_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """docs without its text, with the base columns, the votes, posterior and kept."""
-    at = materialise(base_features(docs, text).drop(text).withColumn("votes", votes()), "quality-rules")
+    """doc_id, the base columns, what the rules read, the votes, posterior and kept of every row of docs."""
+    at = materialise(base_features(docs.select("doc_id", text), text).drop(text).withColumn("votes", votes()), "quality-rules")
     patterns = {r["votes"]: r["n"] for r in at.where(~F.col("base_failed")).groupBy("votes").agg(F.count("*").alias("n")).collect()}
     share, weights = fit_label_model(patterns)
     odds = F.lit(math.log(share / (1 - share)))

@@ -84,9 +84,10 @@ class Network:
         for d in "fb":
             self.p |= {f"in_{d}": make(2 * EMBED, 3 * HIDDEN), f"state_{d}": make(HIDDEN, 3 * HIDDEN), f"base_{d}": np.zeros(3 * HIDDEN, np.float32)}
 
-    def inputs(self, vocabulary: Vocabulary, which: np.ndarray) -> np.ndarray:
+    def inputs(self, vocabulary: Vocabulary, which: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
+        """keep: a weight for each n-gram of the words."""
         grams, owner = vocabulary.grams_of(which)
-        chars = np.stack([np.bincount(owner, weights=self.p["grams"][:, c][grams], minlength=len(which)) for c in range(EMBED)], axis=1) if len(grams) else np.zeros((len(which), EMBED))
+        chars = np.stack([np.bincount(owner, weights=self.p["grams"][:, c][grams] if keep is None else self.p["grams"][:, c][grams] * keep, minlength=len(which)) for c in range(EMBED)], axis=1) if len(grams) else np.zeros((len(which), EMBED))
         return np.concatenate([self.p["words"][vocabulary.word[which]], chars / np.sqrt(np.maximum(vocabulary.counts[which], 1))[:, None]], axis=1).astype(np.float32)
 
     def run(self, gates: np.ndarray, at: np.ndarray, mask: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
@@ -131,12 +132,13 @@ class Network:
         return out
 
     def gradients(self, vocabulary: Vocabulary, at: np.ndarray, y: np.ndarray, draw: np.random.Generator, drop: float = 0.5) -> dict[str, np.ndarray]:
-        """drop: how often a distinct word's own embedding is left out, so that its characters must do."""
+        """drop: how often a distinct word's own embedding, and each of its n-grams, is left out."""
         p, g = self.p, {k: np.zeros_like(v) for k, v in self.p.items()}
         which, part = np.unique(np.maximum(at, 0), return_inverse=True)
         part, mask = part.reshape(at.shape).T, (at >= 0).T
-        x = self.inputs(vocabulary, which)
-        known = (draw.random(len(which)) >= drop)[:, None]
+        keep = (draw.random(vocabulary.counts[which].sum()) >= drop) / (1 - drop)
+        x = self.inputs(vocabulary, which, keep)
+        known = ((draw.random(len(which)) >= drop) / (1 - drop))[:, None]
         x[:, :EMBED] *= known
         kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self.run(self.gates(x, d), part, mask, d, kept[d]) for d in "fb"], axis=2)
@@ -175,12 +177,26 @@ class Network:
         dx[:, :EMBED] *= known
         for c in range(EMBED):
             g["words"][:, c] = np.bincount(vocabulary.word[which], weights=dx[:, c], minlength=WORD_BUCKETS)
-            g["grams"][:, c] = np.bincount(grams, weights=each[:, c][owner], minlength=GRAM_BUCKETS)
+            g["grams"][:, c] = np.bincount(grams, weights=each[:, c][owner] * keep, minlength=GRAM_BUCKETS)
         return g
 
 
-def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: int = 6, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Network:
-    """texts: windows of at most LENGTH words; Adam on the mean log loss, both labels weighing alike in a batch's draw."""
+def common_buckets(vocabulary: Vocabulary, at: np.ndarray, least: int = 3) -> dict[str, np.ndarray]:
+    """1 for the buckets of words and of n-grams that `least` windows or more hold, 0 for others: what is seen
+    less is learned by heart, and no model of it is of use elsewhere."""
+    window, place = np.nonzero(at >= 0)
+    pairs = np.unique(np.stack([window, vocabulary.word[at[window, place]]]), axis=1)
+    words = np.bincount(pairs[1], minlength=WORD_BUCKETS)
+    which = np.unique(np.stack([window, at[window, place]]), axis=1)
+    grams, owner = vocabulary.grams_of(which[1])
+    pairs = np.unique(which[0][owner] * GRAM_BUCKETS + grams)
+    return {"words": (words >= least).astype(np.float32), "grams": (np.bincount(pairs % GRAM_BUCKETS, minlength=GRAM_BUCKETS) >= least).astype(np.float32)}
+
+
+def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: int = 6, least: int = 600, batch: int = 128, rate: float = 0.01, decay: float = 0.1, swap: float = 0.5, seed: int = 5) -> Network:
+    """texts: windows of at most LENGTH words; Adam on the mean log loss, both labels weighing alike in a
+    batch's draw, for `rounds` rounds and at least `least` batches. swap: up to this share of a window's words is
+    exchanged for words of clean windows, so that no window can be learned by heart."""
     raw = [t.encode() for t in texts]
     data, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(t) for t in raw])
     owner, number, vocabulary = distinct_words(data, ends)
@@ -188,19 +204,31 @@ def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: i
     place = np.arange(len(owner)) - np.searchsorted(owner, owner)
     at[owner[place < LENGTH], place[place < LENGTH]] = number[place < LENGTH]
     net, draw = net or Network(seed), np.random.default_rng(seed)
+    often = {k: v[:, None] for k, v in common_buckets(vocabulary, at).items()}
+    for name, keep in often.items():
+        net.p[name] *= keep
+    pool = at[y == 0]
+    pool = pool[pool >= 0]
     first, second, step = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     sides = [np.flatnonzero(y == 0), np.flatnonzero(y == 1)]
+    size = max(len(s) for s in sides)
+    rounds = max(rounds, -(-least * batch // max(1, 2 * size)))
     for k in range(rounds):
-        size = max(len(s) for s in sides)
         order = np.stack([np.resize(draw.permutation(s), size) for s in sides], axis=1).reshape(-1)
         for i in range(0, len(order), batch):
             part = order[i : i + batch]
-            grads = net.gradients(vocabulary, at[part], y[part], draw)
+            mixed = at[part]
+            other = (mixed >= 0) & (draw.random(mixed.shape) < swap * draw.random((len(part), 1)))
+            mixed[other] = pool[draw.integers(len(pool), size=int(other.sum()))]
+            grads = net.gradients(vocabulary, mixed, y[part], draw)
             step += 1
             lr = rate * (1 - k / rounds) + 1e-4
             for name, g in grads.items():
+                g = g * often[name] if name in often else g
                 first[name] += 0.1 * (g - first[name])
                 second[name] += 0.01 * (g * g - second[name])
+                if name in often:
+                    net.p[name] *= 1 - decay * lr
                 net.p[name] -= lr * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-7)
     return net
 
@@ -225,7 +253,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
 
 
-def score_texts(net: Network, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def score_texts(net: Network, data: np.ndarray, ends: np.ndarray, odds: bool = False) -> np.ndarray:
+    """The score of each text's worst window; odds: its log odds."""
     owner, number, vocabulary = distinct_words(data, ends)
     sizes = np.bincount(owner, minlength=len(ends))
     first = np.cumsum(sizes) - sizes
@@ -237,7 +266,8 @@ def score_texts(net: Network, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     at = np.where(at < sizes[text][:, None], first[text][:, None] + at, -1)
     at = np.where(at >= 0, number[np.maximum(at, 0)], -1) if len(number) else np.full(at.shape, -1)
     z = net.score(vocabulary, at)
-    return sigmoid(np.maximum.reduceat(z, np.cumsum(many) - many).astype(np.float64)) if len(ends) else np.zeros(0)
+    worst = np.maximum.reduceat(z, np.cumsum(many) - many).astype(np.float64) if len(ends) else np.zeros(0)
+    return worst if odds else sigmoid(worst)
 
 
 def clues(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +285,8 @@ def clues(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_network(sample: DataFrame, again: int = 2) -> Network:
     """Passes over the sample: how often words and their beginnings go with either label, the windows
-    they point to, and `again` times the windows that the network trained so far finds worst."""
+    they point to, `again` times the windows that the network trained so far finds worst, and at last
+    whole texts' scores, between which the bias is set."""
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, CLUES), dtype=np.int32)
         for batch in batches:
@@ -287,10 +318,29 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
 
         fresh = pick(sample, worst)
         rows = sorted({*(r for r in rows if not r[0]), *fresh})
-        net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32), net, rounds=3, rate=0.004)
+        net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32), net, rounds=3, least=300, rate=0.004)
+    final = net
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [float(score_texts(final, *text_buffer(pa.array([t.as_py() or ""])), odds=True)[0]) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(scores, pa.float64())], ["label", "z"])
+
+    done = sorted((r["z"], r["label"]) for r in sample.select("text", "label").mapInArrow(whole, "label int, z double").collect())
+    net.p["bias"] -= np.float32(threshold(np.array([z for z, _ in done]), np.array([k for _, k in done])))
     return net
 
 
+def threshold(z: np.ndarray, y: np.ndarray) -> float:
+    """The cut between ascending scores with the fewest errors; of equally good ones a quarter into the widest
+    gap, as the texts learned from stand further above it than others will."""
+    errors = np.concatenate([[0], np.cumsum(y)]) + (y == 0).sum() - np.concatenate([[0], np.cumsum(y == 0)])
+    edge = np.concatenate([[z[0] - 1], z, [z[-1] + 1]]) if len(z) else np.zeros(2)
+    best = np.flatnonzero(errors == errors.min())
+    k = best[np.argmax(edge[best + 1] - edge[best])]
+    return float(edge[k] + (edge[k + 1] - edge[k]) / 4)
+
+
 def pick(sample: DataFrame, value) -> list[tuple[int, str]]:
     """(label, words) of windows: a toxic text's of the highest value, a clean one's highest and others spread over it."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,8 @@ table of at most MAX_LABELLED urls, and its BUCKETS whole-number weights go into
 
 Defined results: a null url, or one without "://", has an empty host and path, fits no rule and is
 judged by the model (an empty url has no n-grams: the bias alone, allow); repeated rows give repeated
-results; other columns are kept; an empty table gives an empty result.
+results; other columns are kept, but for those
+with the name of a result, which it replaces; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -95,7 +96,8 @@ def url_filter(pages: DataFrame, rules=RULES, model: tuple[list[int], int] | Non
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
     weights, bias = model or default_model()
-    out = pages.withColumn("_r", F.when(F.instr(url, "://") > 0, F.expr(f"substring(`{url}`, instr(`{url}`, '://') + 3)")).otherwise(F.lit("")))
+    out = pages.select(F.struct("*").alias("_in"), F.col(url).alias("_url"))
+    out = out.withColumn("_r", F.when(F.instr("_url", "://") > 0, F.expr("substring(_url, instr(_url, '://') + 3)")).otherwise(F.lit("")))
     out = out.withColumn("_r", F.coalesce("_r", F.lit(""))).withColumn("_h", F.regexp_extract("_r", r"(?s)\A[^/?#]*", 0))
     out = out.withColumn("host", F.translate("_h", UPPER, LOWER)).withColumn("path", F.regexp_extract(F.expr("substring(_r, length(_h) + 1)"), r"(?s)\A[^?#]*", 0))
     ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0] != "block", r[1] + r[2]))
@@ -105,11 +107,13 @@ def url_filter(pages: DataFrame, rules=RULES, model: tuple[list[int], int] | Non
     out = out.withColumn("_wt", F.transform(F.split(F.lit(",".join(map(str, weights))), ","), lambda x: x.cast("long")))
     sums = " + ".join(f"case when length(_u) >= {n} then aggregate(sequence(1, length(_u) - {n - 1}), 0L, (a, i) -> a + _wt[cast(conv(substring(md5(cast(substring(_u, i, {n}) as binary)), 1, 3), 16, 10) as int)]) else 0L end" for n in GRAMS)
     out = out.withColumn("_z", F.expr(f"{bias}L + {sums}"))
-    return out.withColumns({
+    out = out.withColumns({
         "rule": F.when(F.col("_f").isNotNull(), F.concat("_f.h", "_f.p")),
         "score": F.col("_z") / F.lit(float(SCALE)),
         "verdict": F.coalesce(F.col("_f.v"), F.when(F.col("_z") > 0, "block").otherwise("allow")),
-    }).drop("_r", "_h", "_f", "_u", "_wt", "_z")
+    })
+    results = ("host", "path", "rule", "score", "verdict")
+    return out.select(*(F.col(f"_in.`{c}`") for c in pages.columns if c not in results), *results)
 
 
 def oracle() -> str:
