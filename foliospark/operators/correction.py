@@ -7,6 +7,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions.text import TAGS, squeeze, token_length, words
 
@@ -107,7 +108,7 @@ def normalise(text: Column, markers: tuple[str, ...] = TAGS) -> Column:
     return squeeze(F.regexp_replace(text, r"(?<=\.)([A-Z])", " $1"))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """round(100 * 2M / T) of the lower-cased words, M by the standard library's sequence matcher."""
     from difflib import SequenceMatcher
