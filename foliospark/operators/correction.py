@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -70,7 +70,7 @@ def round_robin(index: Column, n: int) -> Column:
     return F.pmod(index, F.lit(n))
 
 
-def correct(batches: DataFrame, make: "callable", instances: int | None = None) -> DataFrame:
+def correct(batches: DataFrame, make: Callable[[], Corrector], instances: int | None = None) -> DataFrame:
     """batches with processed_result and error, from a Corrector that make() loads once for each worker.
 
     A failing model never fails the job: its rows get a null result and the error's text.
@@ -82,12 +82,21 @@ def correct(batches: DataFrame, make: "callable", instances: int | None = None)
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
         for part in parts:
+            prompts = [PROMPT[0] + b + PROMPT[1] for b in part["original_batch"]]
             try:
                 model = model or make()
-                out, error = [normal_output(x) for x in model([PROMPT[0] + b + PROMPT[1] for b in part["original_batch"]])], None
-            except Exception as e:  # noqa: BLE001
-                out, error = [None] * len(part), str(e)
-            yield part.assign(processed_result=out, error=error)
+                out, errors = [normal_output(x) for x in model(prompts)], [None] * len(part)
+            except Exception:  # noqa: BLE001
+                out, errors = [], []
+                for one in prompts:  # so that a failing prompt spoils no other
+                    try:
+                        model = model or make()
+                        out.append(normal_output(model([one])[0]))
+                        errors.append(None)
+                    except Exception as e:  # noqa: BLE001
+                        out.append(None)
+                        errors.append(str(e) or type(e).__name__)
+            yield part.assign(processed_result=pd.Series(out, index=part.index, dtype=object), error=pd.Series(errors, index=part.index, dtype=object))
 
     return batches.mapInPandas(run, f"{fields}, processed_result string, error string")
 

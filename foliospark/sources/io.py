@@ -22,7 +22,8 @@ def read_pages(spark: SparkSession, path: str, extract: Callable[[str, bytes], l
                     texts = extract(book, bytes(content))
                 except Exception:  # noqa: BLE001
                     texts = []
-                yield pd.DataFrame({"book_id": book, "page_no": range(len(texts)), "text": texts, "prob": 0})
+                n = len(texts)
+                yield pd.DataFrame({"book_id": pd.Series([book] * n, dtype=object), "page_no": pd.Series(range(n), dtype="int64"), "text": pd.Series(texts, dtype=object), "prob": pd.Series([0] * n, dtype="int32")})
 
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content").mapInPandas(run, PAGES)
 
