@@ -332,13 +332,12 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
 
 
 def threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """The cut between ascending scores with the fewest errors; of equally good ones a quarter into the widest
-    gap, as the texts learned from stand further above it than others will."""
+    """The cut between ascending scores with the fewest errors; of equally good ones the middle of the widest gap."""
     errors = np.concatenate([[0], np.cumsum(y)]) + (y == 0).sum() - np.concatenate([[0], np.cumsum(y == 0)])
     edge = np.concatenate([[z[0] - 1], z, [z[-1] + 1]]) if len(z) else np.zeros(2)
     best = np.flatnonzero(errors == errors.min())
     k = best[np.argmax(edge[best + 1] - edge[best])]
-    return float(edge[k] + (edge[k + 1] - edge[k]) / 4)
+    return float(edge[k] + edge[k + 1]) / 2
 
 
 def pick(sample: DataFrame, value) -> list[tuple[int, str]]:
