@@ -126,9 +126,10 @@ def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def word_pairs(pairs: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
-    zipped = F.arrays_zip(words(F.col(a)).alias("a"), words(F.col(b)).alias("b"))
-    n = F.least(F.size(words(F.col(a))), F.size(words(F.col(b))))
-    return pairs.select(*keys, F.posexplode(F.slice(zipped, F.lit(1), n)).alias("i", "w")).select(*keys, "i", F.col("w.a").alias("wa"), F.col("w.b").alias("wb"))
+    at = pairs.select(*keys, words(F.col(a)).alias("_a"), words(F.col(b)).alias("_b"))
+    n = F.least(F.size("_a"), F.size("_b"))
+    zipped = F.arrays_zip(F.slice("_a", F.lit(1), n), F.slice("_b", F.lit(1), n))
+    return at.select(*keys, F.posexplode(zipped).alias("i", "w")).select(*keys, "i", F.col("w").getField("0").alias("wa"), F.col("w").getField("1").alias("wb"))
 
 
 def prefix_score(pairs: DataFrame, keys: list[str], a: str, b: str, threshold: int = 90, fuzzy: bool = True) -> DataFrame:
@@ -143,10 +144,13 @@ def prefix_score(pairs: DataFrame, keys: list[str], a: str, b: str, threshold: i
         at = at.where(same).withColumn("ratio", F.lit(100)).unionByName(differ.withColumn("ratio", fuzzy_ratio("wa", "wb")))
     else:
         at = at.withColumn("ratio", F.when(same, 100).otherwise(0))
-    # The first failure of each pair, then what lies before it: two partial aggregations, no sort.
-    first = at.groupBy(*keys).agg(F.min(F.when(F.col("ratio") <= threshold, F.struct("i", "ratio"))).alias("_f"), F.max("i").alias("_n"))
-    sums = at.join(first.select(*keys, F.coalesce(F.col("_f.i"), F.col("_n") + 1).alias("_stop"), F.col("_f.ratio").alias("_bad")), keys)
-    sums = sums.groupBy(*keys).agg(F.sum(F.when(F.col("i") < F.col("_stop"), 1).otherwise(0)).cast("long").alias("match_count"), F.sum(F.when(F.col("i") < F.col("_stop"), F.length("wa")).otherwise(0)).cast("long").alias("matched_chars"), F.coalesce(F.max("_bad"), F.max_by("ratio", "i")).cast("int").alias("last_match_ratio"))
+    # A pair's ratios in order, gathered once; the first failure ends the match.
+    rows = at.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "ratio", F.length("wa").alias("n")))).alias("_r"))
+    rows = rows.withColumn("_stop", F.array_position(F.transform("_r", lambda x: x["ratio"] <= threshold), F.lit(True)).cast("int"))
+    rows = rows.withColumn("_m", F.when(F.col("_stop") == 0, F.col("_r")).otherwise(F.slice("_r", F.lit(1), F.col("_stop") - 1)))
+    chars = F.aggregate("_m", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    last = F.element_at("_r", F.when(F.col("_stop") == 0, F.lit(-1)).otherwise(F.col("_stop")))["ratio"]
+    sums = rows.select(*keys, F.size("_m").cast("long").alias("match_count"), chars.alias("matched_chars"), last.cast("int").alias("last_match_ratio"))
     zero = lambda c, t: F.coalesce(c, F.lit(0).cast(t)).alias(c)
     return pairs.select(*keys).join(sums, keys, "left").select(*keys, zero("match_count", "long"), zero("matched_chars", "long"), zero("last_match_ratio", "int"))
 

@@ -299,6 +299,12 @@ def prompt_rows(spark, sf_dir):
     return E.prompt_rows(noise_pairs(spark, sf_dir), "doc_id")
 
 
+@query(f"with {WORDS} select doc_id, count(*) as words, cast(sum(greatest(1, cast(ceil(length(w) / 4.0) as bigint))) as bigint) as tokens from words group by doc_id")
+def token_lengths(spark, sf_dir):
+    at = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.words(F.col("text"))).alias("w"))
+    return at.groupBy("doc_id").agg(F.count("*").alias("words"), F.sum(T.token_length(F.col("w"))).cast("long").alias("tokens"))
+
+
 # ---- training
 
 @query("select doc_id, source from documents order by md5('42:' || doc_id), doc_id limit 100")
@@ -327,6 +333,11 @@ def template_parse(spark, sf_dir):
     return R.parse_template(chat_template(spark, sf_dir)).select("conv_id", "turn", "prompt", "expected")
 
 
+@query(f"with {TURNS}, {CHAT} select * from chat order by conv_id, turn limit 2")
+def probe_rows(spark, sf_dir):
+    return chat_template(spark, sf_dir).orderBy("conv_id", "turn").limit(2)
+
+
 @query("select doc_id from documents where doc_id > 0 and doc_id % 50 = 0")
 def every_n(spark, sf_dir):
     return table(spark, sf_dir, "documents").where(R.every(F.col("doc_id"), 50)).select("doc_id")
@@ -409,6 +420,17 @@ def cosine_pairs(spark, sf_dir):
 STUB = "done as (select book_id, batch_index, original_batch, case when batch_index % 7 = 3 or (book_id + batch_index) % 11 = 5 then null else replace(original_batch, 'e', 'E') end as processed_result, case when (book_id + batch_index) % 11 = 5 then 'stub' end as error from batches), results as (select *, case when error is not null then 'future_error' when processed_result is null then 'processing_failed' else 'success' end as status from done)"
 
 
+def stub_model():
+    """A corrector for tests: fails on prompts of some lengths, else writes e as E."""
+    begin, end = G.PROMPT
+    return lambda prompts: [None if len(p) % 7 == 3 else p[len(begin) : len(p) - len(end)].replace("e", "E") for p in prompts]
+
+
+@query(f"with {LINES}, {BATCHES}, c as (select book_id, batch_index, original_batch, case when length('{G.PROMPT[0]}' || original_batch || '{G.PROMPT[1]}') % 7 <> 3 then replace(original_batch, 'e', 'E') end as processed_result from batches) select *, case when processed_result is null then 'processing_failed' else 'success' end as status, cast(null as varchar) as error from c")
+def corrected_batches(spark, sf_dir):
+    return G.result_records(G.correct(line_batches(spark, sf_dir), stub_model), "book_id")
+
+
 def stub_results(spark, sf_dir):
     """The corrector is an expression here, so that SQL can follow."""
     late = F.pmod(F.col("book_id") + F.col("batch_index"), F.lit(11)) == 5
@@ -442,6 +464,12 @@ def results_text(spark, sf_dir):
     return H.joined(stub_results(spark, sf_dir).where("status = 'success'"), ["book_id"], "batch_index", "processed_result").select("book_id", F.col("processed_result").alias("text"))
 
 
+@query("select source as book_id, md5(string_agg(text || chr(10) || chr(10), '' order by doc_id)) as digest from documents where length(text) > 0 group by source")
+def page_text(spark, sf_dir):
+    out = H.joined(table(spark, sf_dir, "documents"), ["source"], "doc_id", "text", end=True)
+    return out.select(F.col("source").alias("book_id"), F.md5("text").alias("digest"))
+
+
 # ---- speech
 
 BOOKS = f"{LINES}, books as (select book_id, string_agg(line, chr(10) order by line_no) as text from lines group by book_id)"
@@ -476,3 +504,15 @@ cc as (select book_id, para_no, paragraph, cast(floor(para_no / size) as bigint)
 select *, proc % 3 as gpu, 'data/output_part_proc' || proc || '_part_' || (proc % 3) || '_' || part || '.wav' as path from cc""")
 def chunk_schedule(spark, sf_dir):
     return I.schedule(paragraphs(spark, sf_dir), ["book_id"], 3)
+
+
+@query(f"""with {BOOKS}, {PARAS}, ca as (select *, count(*) over (partition by book_id) as n from paras), cb as (select *, ceil(n / cast(least(3, n) as double)) as size from ca),
+cc as (select book_id, para_no, cast(floor(para_no / size) as bigint) as proc, cast(para_no - floor(para_no / size) * size as bigint) as part from cb),
+cd as (select book_id, para_no, proc, part, 'data/output_part_proc' || proc || '_part_' || (proc % 3) || '_' || part || '.wav' as path from cc)
+select book_id, path, row_number() over (partition by book_id order by proc, part) as by_number, row_number() over (partition by book_id order by path) as by_name from cd""")
+def part_order(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("book_id")
+    out = chunk_schedule(spark, sf_dir)
+    return out.select("book_id", "path", *(F.row_number().over(w.orderBy(*I.part_order(by_name=k))).cast("long").alias(n) for n, k in (("by_number", False), ("by_name", True))))
