@@ -104,7 +104,7 @@ def url_filter(pages: DataFrame, rules=RULES, model: tuple[list[int], int] | Non
     listed = F.array(*(F.struct(F.lit(v).alias("v"), F.lit(h).alias("h"), F.lit(p).alias("p")) for v, h, p in ranked)) if ranked else F.expr("cast(array() as array<struct<v:string,h:string,p:string>>)")
     out = out.withColumn("_f", F.get(F.filter(listed, lambda r: ((F.col("host") == r["h"]) | F.col("host").endswith(F.concat(F.lit("."), r["h"]))) & F.col("path").startswith(r["p"])), F.lit(0)))
     out = out.withColumn("_u", F.when((F.col("host") == "") & (F.col("path") == ""), F.lit("")).otherwise(F.concat(F.lit("^"), "host", "path", F.lit("$"))))
-    out = out.withColumn("_wt", F.transform(F.split(F.lit(",".join(map(str, weights))), ","), lambda x: x.cast("long")))
+    out = out.withColumn("_wt", F.split(F.lit(",".join(map(str, weights))), ",").cast("array<long>"))
     sums = " + ".join(f"case when length(_u) >= {n} then aggregate(sequence(1, length(_u) - {n - 1}), 0L, (a, i) -> a + _wt[cast(conv(substring(md5(cast(substring(_u, i, {n}) as binary)), 1, 3), 16, 10) as int)]) else 0L end" for n in GRAMS)
     out = out.withColumn("_z", F.expr(f"{bias}L + {sums}"))
     out = out.withColumns({
