@@ -61,7 +61,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets[1:] - offsets[0]
 
 
-def blocks(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about `most` bytes of text: work memory follows that, or the longest text."""
     _, ends = text_buffer(batch.column("text"))
     at = 0
