@@ -9,6 +9,8 @@ first word of such an item.
 
 The documents' side is never shuffled before it has met the benchmark while the benchmark's
 fingerprints number no more than BROADCAST_ROWS, which is counted first; beyond, both joins are shuffled.
+Below that number a table of at most 2 ** 18 bits over hash values also goes into the plan: fingerprints
+that it excludes never become rows.
 
 Defined results: null texts have no words; doc_id is the key, and rows that share one are read as one
 document (null is a key too); an empty benchmark leaves every document clean; items with null or
@@ -51,7 +53,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_share: float = 0.05
     n_prints = table.count()
     short = [(r["_n"], r["first"]) for r in items.where(f"_n < {WINDOW}").groupBy("_n").agg(F.collect_set(F.get("_w", F.lit(0))).alias("first")).collect()] if n_prints <= broadcast_rows else [(r["_n"], None) for r in items.where(f"_n < {WINDOW}").select("_n").distinct().collect()]
 
+    small = n_prints <= broadcast_rows
     at = docs.select("doc_id", bench_words(F.col("text")).alias("_w")).withColumn("_n", F.size("_w"))
+    if small:  # a bit for each of some hash values tells most fingerprints apart before they become rows
+        bits = min(18, max(8, (16 * n_prints).bit_length()))
+        seen = {(r["fp"] >> 31) & ((1 << bits) - 1) for r in table.where("len = 0").select("fp").collect()}
+        at = at.withColumn("_known", F.split(F.lit(",".join(str(int(i in seen)) for i in range(1 << bits))), ",").cast("array<int>"))
+        prints = f"filter({prints}, x -> _known[cast(shiftright(x, 31) & {(1 << bits) - 1}L as int)] = 1)"
     at = at.withColumn("_g", F.expr(f"case when _n >= {WINDOW} then {grams} else cast(array() as array<bigint>) end"))
     long_part = f"transform({prints}, x -> struct(x & ~{PLACE}L as fp, 0 as len, cast(greatest(1L, (x & {PLACE}L) - {WINDOW - K}) as int) as start, slice(_w, cast(greatest(1L, (x & {PLACE}L) - {WINDOW - K}) as int), cast((x & {PLACE}L) + {WINDOW - 1} - greatest(1L, (x & {PLACE}L) - {WINDOW - K}) + 1 as int)) as words))"
     parts = ["array(struct(xxhash64(doc_id) as fp, -1 as len, _n as start, cast(null as array<string>) as words))", long_part]
@@ -62,7 +70,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_share: float = 0.05
     parts = [f"coalesce({p}, array())" if p.startswith("case") else p for p in parts]
     rows = at.select("doc_id", F.expr(f"inline(concat({', '.join(parts)}))"))
 
-    small = n_prints <= broadcast_rows
     near = (lambda x: F.broadcast(x)) if small else (lambda x: x)
     met = rows.join(near(table), ["fp", "len"], "left").where("len = -1 or hit")
     # Extend: every window of a hit's words, as text.
