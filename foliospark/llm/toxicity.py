@@ -184,13 +184,14 @@ class Network:
 def common_buckets(vocabulary: Vocabulary, at: np.ndarray, least: int = 3) -> dict[str, np.ndarray]:
     """1 for the buckets of words and of n-grams that `least` windows or more hold, 0 for others: what is seen
     less is learned by heart, and no model of it is of use elsewhere."""
-    window, place = np.nonzero(at >= 0)
-    pairs = np.unique(np.stack([window, vocabulary.word[at[window, place]]]), axis=1)
-    words = np.bincount(pairs[1], minlength=WORD_BUCKETS)
-    which = np.unique(np.stack([window, at[window, place]]), axis=1)
-    grams, owner = vocabulary.grams_of(which[1])
-    pairs = np.unique(which[0][owner] * GRAM_BUCKETS + grams)
-    return {"words": (words >= least).astype(np.float32), "grams": (np.bincount(pairs % GRAM_BUCKETS, minlength=GRAM_BUCKETS) >= least).astype(np.float32)}
+    words, grams = np.zeros(WORD_BUCKETS, dtype=np.int64), np.zeros(GRAM_BUCKETS, dtype=np.int64)
+    for k in range(0, len(at), 500):
+        window, place = np.nonzero(at[k : k + 500] >= 0)
+        pairs = np.unique(np.stack([window, at[k + window, place]]), axis=1)
+        words += np.bincount(np.unique(pairs[0] * WORD_BUCKETS + vocabulary.word[pairs[1]]) % WORD_BUCKETS, minlength=WORD_BUCKETS)
+        found, owner = vocabulary.grams_of(pairs[1])
+        grams += np.bincount(np.unique(pairs[0][owner] * GRAM_BUCKETS + found) % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    return {"words": (words >= least).astype(np.float32), "grams": (grams >= least).astype(np.float32)}
 
 
 def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: int = 6, least: int = 600, batch: int = 128, rate: float = 0.01, decay: float = 0.1, swap: float = 0.5, seed: int = 5) -> Network:
@@ -247,7 +248,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> DataFra
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, 2_000_000):
+            for batch in blocks(whole):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score_texts(net, *text_buffer(batch.column("text"))) if net else np.zeros(batch.num_rows))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
