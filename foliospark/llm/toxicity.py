@@ -1,6 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs.
 
 A word's input joins a hashed word embedding with the mean of its hashed character n-grams' embeddings.
+Words of more than LONGEST_WORD bytes (texts without ASCII white space are one) are read as pieces of
+about PIECE bytes that overlap by half, in training and scoring alike; a piece is a word from then on.
 The network reads windows of LENGTH words that overlap by half; attention pools the states of a window
 and a logistic unit scores it. A text's score is that of its worst window. Every window of the whole
 text is scored; trained in numpy on the driver.
@@ -30,7 +32,7 @@ from .wordhash import word_table
 
 LENGTH, STEP, WORD_BUCKETS, GRAM_BITS, EMBED, HIDDEN, ATTEND = 32, 16, 1 << 14, 15, 8, 8, 8
 GRAM_BUCKETS, GRAMS = 1 << GRAM_BITS, (3, 4, 5)
-MAX_FIT, EACH, LONGEST_WORD, CLUES = 4_000, 3, 64, 1 << 18
+MAX_FIT, EACH, LONGEST_WORD, PIECE, CLUES = 4_000, 3, 64, 24, 1 << 18
 
 
 def windows(words: np.ndarray) -> np.ndarray:
@@ -60,11 +62,38 @@ class Vocabulary:
         return self.grams[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.begin[which], n)], owner
 
 
+def gathered(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The bytes of some spans of data, one after another."""
+    size = stop - start
+    return data[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)]
+
+
+def step_table(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """word_table, with the pieces of each word over LONGEST_WORD in its place: every n-gram of the word is whole
+    in one of them. Pieces begin and end with a character and have PIECE - 3 to PIECE + 3 bytes."""
+    start, stop, owner, h = word_table(data, ends, lower=True)
+    size = stop - start
+    many = np.where(size > LONGEST_WORD, -(-(size - PIECE) // (PIECE // 2)) + 1, 1)
+    if len(many) == many.sum():
+        return start, stop, owner, h
+    word = np.repeat(np.arange(len(start)), many)
+    k = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+    cut = many[word] > 1
+    begin = start[word] + np.where(cut, np.minimum(k * (PIECE // 2), size[word] - PIECE), 0)
+    end = np.where(cut, begin + PIECE, stop[word])
+    for _ in range(3):  # back to where a character begins
+        begin = begin - (cut & (begin > start[word]) & (data[begin] & 0xC0 == 0x80))
+        end = end - (cut & (end < stop[word]) & (data[np.minimum(end, len(data) - 1)] & 0xC0 == 0x80))
+    h = h[word]
+    h[cut] = word_table(gathered(data, begin[cut], end[cut]), np.cumsum((end - begin)[cut]), lower=True)[3]
+    return begin, end, owner[word], h
+
+
 def distinct_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, Vocabulary]:
     """The text of each word, its number among the distinct words, and those."""
-    start, stop, owner, h = word_table(data, ends, lower=True)
+    start, stop, owner, h = step_table(data, ends)
     unique, first, number = np.unique(h, return_index=True, return_inverse=True)
-    size = np.minimum(stop[first] - start[first], LONGEST_WORD)  # a longer word still has its own word bucket
+    size = stop[first] - start[first]
     at = np.cumsum(size) - size
     take = np.arange(size.sum()) - np.repeat(at, size)
     padded = np.full(size.sum() + 2 * len(size), 32, dtype=np.uint8)  # a blank on either side, so that n-grams know where a word begins and ends
@@ -272,16 +301,23 @@ def score_texts(net: Network, data: np.ndarray, ends: np.ndarray, odds: bool = F
 
 
 def clues(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of each word's whole and of its first four and five bytes [words, 3], and each word's text."""
-    start, stop, owner, h = word_table(data, ends, lower=True)
+    """The buckets of each word's whole and of its first four and five bytes, of words as long as a piece of those
+    at each of its places; and each bucket's word, ascending."""
+    start, stop, _, h = step_table(data, ends)
     low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint64)
-    out, head = [h % np.uint64(CLUES)], np.zeros(len(start), dtype=np.uint64)
+    size = stop - start
+    places = np.where(size >= PIECE - 3, size - 3, 1)
+    word = np.repeat(np.arange(len(start)), places)
+    begin = start[word] + np.arange(len(word)) - np.repeat(np.cumsum(places) - places, places)
+    out, owner, head = [h % np.uint64(CLUES)], [np.arange(len(start))], np.zeros(len(word), dtype=np.uint64)
     for k in range(5):
-        at = start + k
-        head = head * np.uint64(257) + np.where(at < stop, low[np.minimum(at, len(low) - 1)], 1) if len(low) else head
+        at = begin + k
+        head = head * np.uint64(257) + np.where(at < stop[word], low[np.minimum(at, len(low) - 1)], 1) if len(low) else head
         if k >= 3:
             out.append((head * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(CLUES))
-    return np.stack(out, axis=1).astype(np.int64), owner
+            owner.append(word)
+    order = np.argsort(np.concatenate(owner), kind="stable")
+    return np.concatenate(out)[order].astype(np.int64), np.concatenate(owner)[order]
 
 
 def fit_network(sample: DataFrame, again: int = 2) -> Network:
@@ -304,7 +340,8 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
 
     def typical(words: list[bytes], at: np.ndarray) -> np.ndarray:
         raw = np.frombuffer(b" ".join(words), dtype=np.uint8)
-        value = np.append(odds[clues(raw, np.array([len(raw)]))[0]].max(axis=1, initial=-9.0), 0.0)
+        found, owner = clues(raw, np.array([len(raw)]))
+        value = np.append(np.maximum.reduceat(odds[found], np.searchsorted(owner, np.arange(len(words)))) if len(words) else np.zeros(0), 0.0)
         return np.sort(value[at], axis=1)[:, -2:].sum(axis=1)
 
     rows = pick(sample, typical)
@@ -347,7 +384,9 @@ def pick(sample: DataFrame, value) -> list[tuple[int, str]]:
         for batch in batches:
             label_of, texts = [], []
             for text, label in zip(batch.column("text"), batch.column("label")):
-                words = [w for w in (text.as_py() or "").encode().translate(bytes.maketrans(b"\t\n\v\f\r", b"     ")).split(b" ") if w]
+                raw = (text.as_py() or "").encode()
+                start, stop, _, _ = step_table(np.frombuffer(raw, dtype=np.uint8), np.array([len(raw)]))
+                words = [raw[a:b] for a, b in zip(start.tolist(), stop.tolist())]
                 at = windows(np.array(words, dtype=object))
                 rank = np.argsort(-value(words, at), kind="stable")
                 picked = rank[:1] if label.as_py() else np.append(rank[:1], rank[1:][:: max(1, -(-len(rank[1:]) // (EACH - 1)))][: EACH - 1])

@@ -150,6 +150,35 @@ def test_toxicity_finds_planted_texts(spark):
     assert len(got) == 1202 and np.mean(held) > 0.9 and 0 <= got[5000] <= 1
 
 
+@pytest.mark.parametrize("run", ["x" * 65, "ab_" * 500, "日本語の文章" * 90, "é🙂a" * 200])
+def test_pieces_of_a_long_word_hold_every_n_gram(run):
+    raw = ("short " + run + " b").encode()
+    start, stop, owner, h = tox.step_table(np.frombuffer(raw, dtype=np.uint8), np.array([len(raw)]))
+    pieces = [raw[a:b] for a, b in zip(start, stop)]
+    assert pieces[0] == b"short" and pieces[-1] == b"b" and len(pieces) > 4 and max(map(len, pieces)) <= tox.PIECE + 3
+    assert all(p.decode() for p in pieces) and b"b".join(pieces).count(b" ") == 0
+    size, long = max(tox.GRAMS), run.encode()
+    assert {long[i : i + size] for i in range(len(long) - size + 1)} <= {p[i : i + size] for p in pieces for i in range(len(p) - size + 1)}
+    again = tox.step_table(np.frombuffer(b" ".join(pieces), dtype=np.uint8), np.array([len(b" ".join(pieces))]))
+    assert again[3].tolist() == h.tolist()
+
+
+def test_toxic_passage_far_inside_one_unbroken_run(spark):
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(draw.randrange(2, 8)))
+    rows = []
+    for i in range(1200):
+        w = [word() for _ in range(draw.choice([60, 150]))]
+        if i % 4 == 0:
+            at = draw.randrange(40, len(w))
+            w[at:at] = ["zzq" + word() for _ in range(6)]
+        rows.append((i, draw.choice([" ", "_", "\u00a0"]).join(w), int(i % 4 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in tox.toxicity(docs, spark.createDataFrame([(i, k) for i, _, k in rows if i % 3], "doc_id long, label int")).collect()}
+    held = [((got[i] >= 0.5), bool(k)) for i, t, k in rows if not i % 3 and " " not in t]
+    assert np.mean([a == b for a, b in held]) > 0.9 and np.mean([a for a, b in held if b]) > 0.85
+
+
 def test_windows_of_a_text_reach_its_end_and_overlap():
     at = tox.windows(np.arange(100))
     assert at.max() == 99 and (np.diff(at[:, 0]) <= tox.STEP).all() and (tox.windows(np.arange(5)) >= 0).sum() == 5
