@@ -28,8 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents, the one with the smallest doc_id; rows that repeat it stay one."""
-    keep = jaccard_join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    """Of each component of documents that share 0.8 of their runs of five words or more, the one with the smallest
+    doc_id; rows that repeat it stay one."""
+    keep = jaccard_join(docs, k=5, percent=80).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
 
 

@@ -1,3 +1,5 @@
+import random
+
 import __spark_entry__
 import corpus_pipeline
 import pytest
@@ -18,6 +20,30 @@ def test_pipeline_stages_keep_the_columns_and_take_effect(spark):
     assert {"sequence_id", "offset", "ids_crc32"} <= set(docs.columns)
 
 
+def test_near_duplicates_against_brute_force(spark):
+    draw, rows = random.Random(4), []
+    for i in range(24):
+        w = [f"w{draw.randrange(10**6)}" for _ in range(100 + 100 * (i % 2))]
+        rows.append((3 * i, " ".join(w)))
+        for k in range(1, 3):  # far apart: from 5-word Jaccard 0.9 and 3-word Jaccard 0.94 down to what is no near copy
+            c = list(w)
+            for j in range((1 + i % 2) * (1 + (i // 2 + k) % 4)):
+                c[10 + 11 * j] = f"n{i}k{k}j{j}"
+            rows.append((3 * i + k, " ".join(c)))
+    grams = lambda t, k: {tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)}
+    near = lambda a, b, k: len(grams(a, k) & grams(b, k)) / len(grams(a, k) | grams(b, k))
+    group = {d: d for d, _ in rows}
+    between = 0
+    for a, s in rows:
+        for b, t in rows:
+            if a < b and a // 3 == b // 3 and near(s, t, 5) >= 0.8:
+                between += near(s, t, 3) < 0.9
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert between > 3 and {r.doc_id for r in got.collect()} == {d for d, g in group.items() if d == g}
+
+
 def test_pipeline_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
