@@ -45,10 +45,10 @@ def op7_language_id(spark, sf_dir):
 
 
 def op8_reshard(spark, sf_dir):
-    """Twelve old shards by the doc_id's crc32, as an earlier run might have left them, become sixteen of even bytes."""
+    """Twelve old shards by the doc_id's crc32, as an earlier run might have left them, become sixteen of even bytes; their files are rewritten."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     old = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 12
-    out = sharding.reshard(docs, old)
+    out = sharding.moved(docs, old)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

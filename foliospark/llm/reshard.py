@@ -10,19 +10,23 @@ Order within an old shard comes from hashes of the doc_id and from sums over (ol
 chunk) cells, so no shard is ever sorted or collected in one task, however large it is.
 
 Defined results: a null text has size 1; rows that repeat a doc_id are placed each on its own; a null
-old shard is a shard of its own; an empty table gives an empty result.
+old shard is a shard of its own; an empty table gives an empty result. `numbered` gives rows a key, by which
+`rewrite` finds each row's place whatever its doc_id is.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import materialise, shuffle_width
+from .common import materialise, shared_dir, shuffle_width
 
 #: Classes of size in bytes, largest first; each is cut after the sums of the former are known.
 CLASSES = (16_384, 4_096, 1_024, 256, 0)
+#: The column of row keys.
+ROW = "_reshard_row"
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -81,14 +85,26 @@ def running(df: DataFrame, groups: list[str], value: Column, to: str, order: lis
     return at.withColumn(to, F.col("_before") + inner).drop("_v", "_before")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs as a table with a key for each row."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "reshard-rows")
+
+
+def bytes_of(text: str) -> tuple[Column, Column]:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return (F.octet_length(whole) + 1).cast("long").alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32")
+
+
 def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | None = None, shards: int = 16, text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, shard and slot of each row; shards' bytes are near capacities (even ones if None).
+    """doc_id, size, text_crc32, old_shard, shard and slot of each row, and its key if docs are
+    numbered; shards' bytes are near capacities (even ones if None).
 
     An old shard j costs nothing to keep as new shard j.
     """
     spark = docs.sparkSession
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    at = docs.select("doc_id", (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce(old_shard.cast("int"), F.lit(-1)).alias("old_shard"))
+    key = [c for c in docs.columns if c == ROW]
+    order = ["doc_id", "text_crc32", "size", *key]
+    at = docs.select("doc_id", *key, *bytes_of(text), F.coalesce(old_shard.cast("int"), F.lit(-1)).alias("old_shard"))
     width = max(16, shuffle_width(spark))
     at = at.withColumn("_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(width)).cast("int"))
     cls = F.lit(len(CLASSES) - 1)
@@ -96,14 +112,14 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | None = N
         cls = F.when(F.col("size") >= CLASSES[c], F.lit(c)).otherwise(cls)
     at = materialise(at.withColumn("_class", cls), "reshard-sizes")
     # The running sum within (old shard, class) doesn't depend on the cuts: it is taken once.
-    at = materialise(running(at, ["old_shard", "_class"], F.col("size"), "_from", ["doc_id", "text_crc32", "size"]), "reshard-order")
+    at = materialise(running(at, ["old_shard", "_class"], F.col("size"), "_from", order), "reshard-order")
     sums = {(r["old_shard"], r["_class"]): r["n"] for r in at.groupBy("old_shard", "_class").agg(F.sum("size").alias("n")).collect()}
     olds = sorted({o for o, _ in sums})
     supply = [sum(n for (o, _), n in sums.items() if o == old) for old in olds]
     total = sum(supply)
     capacity = even_capacities(total, shards) if capacities is None else scaled(capacities, total)
     if not olds:
-        return at.select("doc_id", "size", "text_crc32", "old_shard", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return at.select("doc_id", "size", "text_crc32", "old_shard", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), *key)
     flow = min_cost_flow(supply, capacity, [[0 if old == j else 1 for j in range(len(capacity))] for old in olds])
     shard = F.lit(0)
     need = {(old, j): f for old, row in zip(olds, flow) for j, f in enumerate(row) if f}
@@ -121,8 +137,8 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | None = N
                 need[r["old_shard"], r["_j"]] = need.get((r["old_shard"], r["_j"]), 0) - r["n"]
             need = balanced(need, {o: sum(sums.get((o, k), 0) for k in range(c + 1, len(CLASSES))) for o in olds}, olds)
     out = materialise(at.withColumn("shard", shard).drop("_from", "_class"), "reshard-placed")
-    out = running(out, ["shard"], F.lit(1).cast("long"), "slot", ["doc_id", "text_crc32", "size"])
-    return out.select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot")
+    out = running(out, ["shard"], F.lit(1).cast("long"), "slot", order)
+    return out.select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot", *key)
 
 
 def scaled(capacities: list[int], total: int) -> list[int]:
@@ -161,12 +177,62 @@ def class_cuts(need: dict, size: dict, left: dict) -> dict[int, list[tuple[int,
     return out
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> DataFrame:
-    """Write the documents of every shard that takes or loses rows as Parquet under path, by shard, in slot order.
+def matched(docs: DataFrame, placed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """docs and placed with a key for each row, the same in both: that of `numbered`, or else doc_id, text and a
+    number among the rows that repeat them, which are taken for one another as far as one old shard holds them."""
+    if ROW in docs.columns and ROW in placed.columns:
+        return docs, placed
+    same = ["doc_id", "size", "text_crc32"]
+    if placed.groupBy(*same).agg(F.min("old_shard").alias("a"), F.max("old_shard").alias("b")).where("a <> b").limit(1).count():
+        raise ValueError("rows of one doc_id and text lie in several old shards: reshard and rewrite numbered(docs)")
+    key = lambda *c: F.to_json(F.struct(*c, F.row_number().over(Window.partitionBy(*c).orderBy(F.lit(0))).alias("_k")))
+    at = docs.withColumns({"_reshard_size": bytes_of(text)[0], "_reshard_crc": bytes_of(text)[1]})
+    names = F.col("doc_id"), F.col("_reshard_size"), F.col("_reshard_crc")
+    there = placed.drop(ROW).withColumnsRenamed({"size": "_reshard_size", "text_crc32": "_reshard_crc"})
+    return at.withColumn(ROW, key(*names)).drop("_reshard_size", "_reshard_crc"), there.withColumn(ROW, key(*names))
+
+
+def beside(columns: list[str]) -> dict[str, str]:
+    """New names for columns that are called shard or slot, as the layout's own are."""
+    taken, out = {c.lower() for c in columns}, {}
+    for c in columns:
+        if c.lower() in ("shard", "slot"):
+            new = f"doc_{c}"
+            while new.lower() in taken:
+                new = f"doc_{new}"
+            taken.add(new.lower())
+            out[c] = new
+    return out
+
+
+def rewrite(docs: DataFrame, placed: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Write the documents of every shard that takes or loses rows as Parquet under path, by shard, each file in slot order:
+    one row for each row of docs, whose own columns shard and slot are written as doc_shard and doc_slot.
 
-    Returns the shards that stay as they are: (old_shard) all of whose rows stay and which take none.
+    Returns the shards that stay as they are: (shard) all of whose rows stay and which take none.
     """
     touched = placed.where(F.col("old_shard") != F.col("shard")).select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    rows = placed.join(F.broadcast(touched), "shard", "left_semi").select("doc_id", "shard", "slot")
-    docs.join(rows, "doc_id").repartition("shard", F.pmod("slot", F.lit(64))).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    docs, keyed = matched(docs, placed, text)
+    rows = keyed.join(F.broadcast(touched), "shard", "left_semi").select(ROW, "shard", "slot")
+    # Texts are joined by a shuffle at any size: the other side has a row for each of theirs.
+    out = docs.withColumnsRenamed(beside(docs.columns)).join(rows.hint("shuffle_hash"), ROW).drop(ROW)
+    # No second shuffle by shard: each task of the join writes a file of each shard.
+    out.sortWithinPartitions("shard", "slot").write.option("compression", "zstd").partitionBy("shard").parquet(path)
     return placed.select(F.col("old_shard").alias("shard")).distinct().join(F.broadcast(touched), "shard", "left_anti")
+
+
+def moved(docs: DataFrame, old_shard: Column, text: str = "text", **how) -> DataFrame:
+    """Reshard docs and rewrite the files: doc_id, size, text_crc32, shard and slot of each row as the rewritten
+    files hold it, or, in shards that stay as they are, as docs do."""
+    docs = numbered(docs)
+    placed = materialise(reshard(docs, old_shard, text=text, **how), "reshard-plan")
+    path = f"{shared_dir(docs.sparkSession)}/reshard-files-{uuid.uuid4().hex}"
+    still = [r["shard"] for r in rewrite(docs, placed, path, text).collect()]
+    names = beside(docs.columns)
+    kinds = docs.drop(ROW).withColumnsRenamed(names).schema.add("slot", "long").add("shard", "integer")
+    files = docs.sparkSession.read.schema(kinds).parquet(path)
+    out = files.select("doc_id", *bytes_of(names.get(text, text)), "shard", "slot")
+    if still:
+        rows = placed.where(F.col("shard").isin(still)).select(ROW, "shard", "slot")
+        out = out.union(docs.select(ROW, "doc_id", *bytes_of(text)).join(rows, ROW).select("doc_id", "size", "text_crc32", "shard", "slot"))
+    return out

@@ -101,3 +101,31 @@ def test_rewrite_leaves_untouched_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     want = {(r.doc_id, r.shard) for r in placed.collect()}
     assert {(r.doc_id, r.shard) for r in back.collect()} <= want
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_rewrite_keeps_each_row_once(spark, tmp_path, keyed):
+    rows = [(i, "t" * (i % 9), i, 7) for i in range(60)] + [(None, "n", 1, 7), (None, None, 2, 7), (None, "n", 3, 7), (5, "a", 4, 7), (5, "b", 5, 7), (5, "b", 6, 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, shard int, Slot int")
+    frame = reshard.numbered(frame) if keyed else frame
+    placed = reshard.reshard(frame, F.coalesce(F.pmod("doc_id", F.lit(3)).cast("int"), F.lit(0)), shards=5)
+    still = {r.shard for r in reshard.rewrite(frame, placed, str(tmp_path / "out")).collect()}
+    back = spark.read.parquet(str(tmp_path / "out"))
+    key = lambda r: tuple(map(str, r))
+    assert not still and set(back.columns) == {"doc_id", "text", "doc_shard", "doc_Slot", "shard", "slot"}
+    assert sorted(((r.doc_id, r.text, r.doc_shard, r.doc_Slot) for r in back.collect()), key=key) == sorted(rows, key=key)
+    want = sorted(((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in placed.collect()), key=key)
+    assert sorted(((r.doc_id, len(r.text or "") + 1, zlib.crc32((r.text or "").encode()), r.shard, r.slot) for r in back.collect()), key=key) == want
+
+
+def test_query_rewrites_files_and_keeps_untouched_shards(spark):
+    rows = [(i, "t" * 9, 1) for i in range(120)] + [(None, "n" * 9, 1), (None, "n" * 9, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, slot int")
+    # Shards 0 and 1 share what both hold; shard 2 has what it shall have.
+    old = F.when(F.col("doc_id") < 60, F.lit(0)).when(F.col("doc_id") < 80, F.lit(1)).otherwise(F.lit(2))
+    got = reshard.moved(frame, old, capacities=[40, 40, 42], shards=3).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows) and {r.size for r in got} == {10}
+    for k, n in enumerate((40, 40, 42)):
+        part = [r for r in got if r.shard == k]
+        assert sorted(r.slot for r in part) == list(range(len(part))) and abs(len(part) - n) <= 1
+    assert reshard.moved(frame.limit(0), F.lit(0)).collect() == []
