@@ -12,8 +12,8 @@ fingerprints number no more than BROADCAST_ROWS, which is counted first; beyond,
 Below that number a table of at most 2 ** 18 bits over hash values also goes into the plan: fingerprints
 that it excludes never become rows.
 
-Defined results: null texts have no words; doc_id is the key, and rows that share one are read as one
-document (null is a key too); an empty benchmark leaves every document clean; items with null or
+Defined results: null texts have no words; every row is a document of its own, rows that share a doc_id and a null
+doc_id too; an empty benchmark leaves every document clean; items with null or
 repeated ids count as the ids they show (a null id is left out of items_sha256 and n_items); other
 columns of either table are ignored.
 """
@@ -40,8 +40,8 @@ def _fingerprints(w: str, n: str) -> str:
     return f"case when {n} >= {WINDOW} then array_distinct(transform(sequence(1, {n} - {WINDOW - 1}), j -> array_min(slice(_g, j, {WINDOW - K + 1})))) else cast(array() as array<bigint>) end", grams
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, min_share: float = 0.05, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per doc_id: n_words, n_hit, n_items, items_sha256, contaminated (a hit, and n_hit of at least min_share of the words)."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, one_in: int = 20, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """For each row of docs: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, items, contaminated (a hit, and one word of `one_in` or more is hit)."""
     prints, grams = _fingerprints("_w", "_n")
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), bench_words(F.col("text")).alias("_w")).withColumn("_n", F.size("_w")).where("_n > 0")
     # A window as text, with the items it occurs in.
@@ -54,7 +54,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_share: float = 0.05
     short = [(r["_n"], r["first"]) for r in items.where(f"_n < {WINDOW}").groupBy("_n").agg(F.collect_set(F.get("_w", F.lit(0))).alias("first")).collect()] if n_prints <= broadcast_rows else [(r["_n"], None) for r in items.where(f"_n < {WINDOW}").select("_n").distinct().collect()]
 
     small = n_prints <= broadcast_rows
-    at = docs.select("doc_id", bench_words(F.col("text")).alias("_w")).withColumn("_n", F.size("_w"))
+    # Equal texts of one doc_id have equal results: they are counted, and come back as many rows.
+    at = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), bench_words(F.col("text")).alias("_w")).withColumn("_n", F.size("_w"))
     if small:  # a bit for each of some hash values tells most fingerprints apart before they become rows
         bits = min(18, max(8, (16 * n_prints).bit_length()))
         seen = {(r["fp"] >> 31) & ((1 << bits) - 1) for r in table.where("len = 0").select("fp").collect()}
@@ -62,34 +63,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_share: float = 0.05
         prints = f"filter({prints}, x -> _known[cast(shiftright(x, 31) & {(1 << bits) - 1}L as int)] = 1)"
     at = at.withColumn("_g", F.expr(f"case when _n >= {WINDOW} then {grams} else cast(array() as array<bigint>) end"))
     long_part = f"transform({prints}, x -> struct(x & ~{PLACE}L as fp, 0 as len, cast(greatest(1L, (x & {PLACE}L) - {WINDOW - K}) as int) as start, slice(_w, cast(greatest(1L, (x & {PLACE}L) - {WINDOW - K}) as int), cast((x & {PLACE}L) + {WINDOW - 1} - greatest(1L, (x & {PLACE}L) - {WINDOW - K}) + 1 as int)) as words))"
-    parts = ["array(struct(xxhash64(doc_id) as fp, -1 as len, _n as start, cast(null as array<string>) as words))", long_part]
+    parts = ["array(struct(text_hash as fp, -1 as len, _n as start, cast(null as array<string>) as words))", long_part]
     for n, first in short:
         at = at.withColumn(f"_f{n}", F.array(*(F.lit(x) for x in first)) if first else F.lit(None).cast("array<string>"))
         known = f"and array_contains(_f{n}, _w[i - 1])" if first else ""
         parts.append(f"case when _n >= {n} then transform(filter(sequence(1, _n - {n - 1}), i -> true {known}), i -> struct(xxhash64(slice(_w, i, {n})) & ~{PLACE}L as fp, {n} as len, i as start, slice(_w, i, {n}) as words)) end")
     parts = [f"coalesce({p}, array())" if p.startswith("case") else p for p in parts]
-    rows = at.select("doc_id", F.expr(f"inline(concat({', '.join(parts)}))"))
+    rows = at.select("doc_id", "text_hash", F.expr(f"inline(concat({', '.join(parts)}))"))
 
-    near = (lambda x: F.broadcast(x)) if small else (lambda x: x)
-    met = rows.join(near(table), ["fp", "len"], "left").where("len = -1 or hit")
+    few = small and windows.limit(broadcast_rows + 1).count() <= broadcast_rows  # what is broadcast is counted
+    met = rows.join(F.broadcast(table) if small else table, ["fp", "len"], "left").where("len = -1 or hit")
     # Extend: every window of a hit's words, as text.
     wins = f"case when len = 0 then transform(sequence(1, greatest(1, size(words) - {WINDOW - 1})), i -> struct(start + i - 1 as at, slice(words, i, {WINDOW}) as w)) when len > 0 then array(struct(start as at, words as w)) end"
-    spans = met.select("doc_id", F.when(F.col("len") == -1, F.col("start")).alias("n_words"), F.explode_outer(F.expr(wins)).alias("x"))
-    spans = spans.select("doc_id", "n_words", "x.at", F.size("x.w").alias("n"), F.coalesce(F.array_join("x.w", " "), F.lit("")).alias("win"))
-    hits = spans.join(near(windows), "win", "left").where("n_words is not null or win_items is not null")
-    found = hits.groupBy("doc_id").agg(
+    spans = met.select("doc_id", "text_hash", F.when(F.col("len") == -1, F.col("start")).alias("n_words"), F.explode_outer(F.expr(wins)).alias("x"))
+    spans = spans.select("doc_id", "text_hash", "n_words", "x.at", F.size("x.w").alias("n"), F.coalesce(F.array_join("x.w", " "), F.lit("")).alias("win"))
+    hits = spans.join(F.broadcast(windows) if few else windows, "win", "left").where("n_words is not null or win_items is not null")
+    found = hits.groupBy("doc_id", "text_hash").agg(
+        F.count("n_words").cast("int").alias("_rows"),
         F.max("n_words").cast("long").alias("n_words"),
         F.sort_array(F.collect_set(F.when(F.col("win_items").isNotNull(), F.struct("at", "n")))).alias("_at"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("win_items")))).alias("_items"),
     )
     return found.select(
         "doc_id",
+        "text_hash",
         "n_words",
+        "_rows",
         F.expr("aggregate(_at, struct(0 as up, 0L as n), (a, x) -> struct(greatest(a.up, x.at + x.n) as up, a.n + greatest(0, x.at + x.n - greatest(a.up, x.at)) as n)).n").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
         F.col("_items").alias("items"),
-    ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(min_share) * F.col("n_words")))
+    ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))).withColumn("_rows", F.explode(F.array_repeat(F.lit(0), F.col("_rows")))).drop("_rows")
 
 
 ORACLE = r"""

@@ -1,15 +1,17 @@
 """Set similarity join on word shingles with set-relation skipping, and the components of its links.
 
-1. Documents with equal sets are one class, known by its smallest doc_id; only classes go on.
+1. Documents with equal sets are one class; only classes go on, each with one row's text.
 2. Shingles that stand in one class alone can't be shared. They are found by an exchange of four bytes a
-   shingle between chunks and buckets, and come first in the order of tokens. A set with as many of them
+   shingle between chunks and buckets, which also tells how many classes hold the others. The order of tokens is: those of one
+   class alone, then from rare to frequent. A set with as many tokens of its own
    as its prefix is long links with nothing, and is done: this leaves out all but a class's near copies.
 3. The others' prefixes make index lists of (token, set, size, position). From a list, every set is
    first compared with one set, the list's centre. Answers of a set that links with the centre are
    derived from the centre's: both are in one component already, so the two are not compared again.
    Lists whose sets are in one component by then are skipped whole. From the others, pairs over
-   different components are compared in blocks by size: a pair is skipped if its sizes, or what its
-   positions leave to share, can't reach the threshold.
+   different components are compared in blocks by size. Of the smaller set of a pair only the first places enter a
+   list, those from which it can still share as much as with a set of its own size; the larger one gives its whole prefix. A pair is
+   skipped if its sizes, or what its positions leave to share, can't reach the threshold.
 4. Links that hold make components; copies take the component of their class.
 
 No list of a hot token is collected anywhere: lists are aggregated by token before the shuffle and
@@ -17,9 +19,10 @@ pairs with the centre are as many as the list is long. The answers of two sets w
 each other: x and y differ by at least what x and y each differ from the centre, less twice what of
 these differences they may share, which their shingles of one class alone can't be.
 
-Sets are compared by 64-bit hashes of shingles. Defined results: a document without words has an empty
-set and is a component of its own; doc_id is the key: rows that share one are one node (null is a
-node); an empty table gives an empty result; other columns are ignored.
+Shingles are compared by 64-bit hashes, sets by 128 bits and their size. Defined results: a document without words has an empty
+set and is a component of its own; rows that share a doc_id are one document, linked by whatever any of its texts links with;
+rows without a doc_id are documents of their own (component_id is null where no row that they link with has one);
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,12 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, shuffle_width
+from .common import materialise, pieces
 from .components import connected_components
 from .language_id import blocks, text_buffer
-from .substring_dedup import NULL_ID, one_array, ordered, packed, spread
+from .substring_dedup import one_array, packed, spread
 from .wordhash import mix, window_hashes, word_table
 
+#: What tells a set from others.
+IDENTITY = ["n_shingles", "h1", "h2"]
+
 
 def shingle_sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, ascending, one text after another, and how many each has."""
@@ -65,39 +71,42 @@ def chunk_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+def keyed(docs: DataFrame, text: str) -> DataFrame:
+    """doc_id, text and a hash of the text: together they tell rows apart that aren't equal."""
+    return docs.select("doc_id", F.col(text).alias("text"), F.xxhash64(text).alias("v"))
+
+
 def identities(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles and two hashes that tell sets apart."""
+    """doc_id, v, n_shingles and two hashes that tell sets apart."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole):
                 h, n = shingle_sets(batch.column("text"), k)
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (0x1234567, 0x7654321)]
                 up = np.cumsum(n)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array((s[up] - s[up - n]).view(np.int64)) for s in sums)], ["doc_id", "n_shingles", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("v"), pa.array(n, pa.int64()), *(pa.array((s[up] - s[up - n]).view(np.int64)) for s in sums)], ["doc_id", "v", *IDENTITY])
 
-    return docs.mapInArrow(count, "doc_id long, n_shingles long, h1 long, h2 long")
+    return docs.mapInArrow(count, "doc_id long, v long, n_shingles long, h1 long, h2 long")
 
 
 def shared_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the classes that may link: doc_id, size, alone (shingles of this class only) and the others, ascending."""
-    width = shuffle_width(docs.sparkSession)
-    chunks, buckets = 4 * width, width
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")
-    at, classes = docs.withColumn("c", chunk), classes.select("doc_id").withColumn("c", chunk)
+    """Of the classes that may link: node, size, alone (shingles of this class only) and the others, from rare to frequent.
+
+    classes: node, and doc_id and v of the row that has its text.
+    """
+    chunks, buckets = pieces(docs, 4), pieces(docs)
+    chunk = F.pmod(F.xxhash64("doc_id", "v"), F.lit(chunks)).cast("int")
+    at, classes = docs.withColumn("c", chunk), classes.select("node", "doc_id", "v").withColumn("c", chunk)
 
     def own(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """doc_ids, sizes and shingles of a chunk's classes, in order of doc_id; of rows with one doc_id the first text in order."""
+        """Nodes, sizes and shingles of a chunk's classes, by node."""
         if not left.num_rows or not right.num_rows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        ids = one_array(left.column("doc_id")).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
-        wanted = one_array(right.column("doc_id")).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
-        left = left.filter(pa.array(np.isin(ids, wanted)))
-        if len(left) > len(wanted):
-            left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids, texts = ordered(left)
-        first = np.append(True, ids[1:] != ids[:-1]) if len(ids) else np.zeros(0, bool)
-        h, n = chunk_sets(texts.filter(pa.array(first)), k)
-        return ids[first], n, h
+        wanted = dict(zip(zip(right.column("doc_id").to_pylist(), right.column("v").to_pylist()), right.column("node").to_pylist()))
+        row_of = {wanted[key]: i for i, key in enumerate(zip(left.column("doc_id").to_pylist(), left.column("v").to_pylist())) if key in wanted}
+        nodes = np.array(sorted(row_of), dtype=np.int64)
+        h, n = chunk_sets(one_array(left.column("text")).take(pa.array([row_of[x] for x in nodes.tolist()], pa.int64())), k)
+        return nodes, n, h
 
     def send(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         _, _, h = own(left, right)
@@ -107,28 +116,32 @@ def shared_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     def count(table: pa.Table) -> pa.Table:
         parts = table.column("h").to_pylist()
         _, number, counts = np.unique(np.frombuffer(b"".join(parts), dtype="<u4"), return_inverse=True, return_counts=True)
-        more, ends = counts[number] > 1, np.cumsum([len(p) // 4 for p in parts])
-        bits = [np.packbits(x).tobytes() for x in np.split(more, ends[:-1])]
-        return pa.table([table.column("c"), table.column("b"), pa.array(bits, pa.binary())], ["c", "b", "bits"])
+        levels = np.minimum(255, np.ceil(8 * np.log2(counts))).astype(np.uint8)[number]  # 0: one class alone
+        ends = np.cumsum([len(p) // 4 for p in parts])
+        return pa.table([table.column("c"), table.column("b"), pa.array([x.tobytes() for x in np.split(levels, ends[:-1])], pa.binary())], ["c", "b", "levels"])
 
     def rest(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = {"doc_id": pa.int64(), "n": pa.int64(), "alone": pa.int64(), "shared": pa.list_(pa.int64())}
+        kinds = {"node": pa.int64(), "n": pa.int64(), "alone": pa.int64(), "shared": pa.list_(pa.int64())}
         marks = right.filter(pa.compute.is_valid(right.column("b")))
-        ids, n, h = own(left, right.filter(pa.compute.is_null(right.column("b"))))
-        bits, shared = dict(zip(marks.column("b").to_pylist(), marks.column("bits").to_pylist())), np.zeros(len(h), dtype=bool)
+        nodes, n, h = own(left, right.filter(pa.compute.is_null(right.column("b"))))
+        found, level = dict(zip(marks.column("b").to_pylist(), marks.column("levels").to_pylist())), np.zeros(len(h), dtype=np.uint8)
         for b, i in packed(spread(h, buckets), buckets):
-            shared[i] = np.unpackbits(np.frombuffer(bits[b], dtype=np.uint8), count=len(i)).astype(bool)
-        up = np.concatenate([np.zeros(1, np.int64), np.cumsum(shared)])
+            level[i] = np.frombuffer(found[b], dtype=np.uint8)
+        up = np.concatenate([np.zeros(1, np.int64), np.cumsum(level > 0)])
         end = np.cumsum(n)
         common = up[end] - up[end - n]
         ok = np.flatnonzero(n - common < n - least_overlap(n, percent) + 1)
-        lists = [np.sort(h[end[i] - n[i] : end[i]][shared[end[i] - n[i] : end[i]]].view(np.int64)) for i in ok]
-        return pa.table([pa.array([None if ids[i] == NULL_ID else int(ids[i]) for i in ok], pa.int64()), pa.array(n[ok]), pa.array((n - common)[ok]), pa.array(lists, kinds["shared"])], list(kinds))
+        lists = []
+        for a, b in zip((end[ok] - n[ok]).tolist(), end[ok].tolist()):
+            some = np.flatnonzero(level[a:b]) + a  # shingles ascend: a stable sort by level leaves ties in that order
+            lists.append(h[some[np.argsort(level[some], kind="stable")]].view(np.int64))
+        return pa.table([pa.array(nodes[ok], pa.int64()), pa.array(n[ok]), pa.array((n - common)[ok]), pa.array(lists, kinds["shared"])], list(kinds))
 
     sent = at.groupBy("c").cogroup(classes.groupBy("c")).applyInArrow(send, "b int, c int, h binary")
-    bits = sent.groupBy("b").applyInArrow(count, "c int, b int, bits binary")
-    back = bits.select(F.lit(None).cast("long").alias("doc_id"), "c", "b", "bits").union(classes.select("doc_id", "c", F.lit(None).cast("int"), F.lit(None).cast("binary")))
-    return at.groupBy("c").cogroup(back.groupBy("c")).applyInArrow(rest, "doc_id long, n long, alone long, shared array<bigint>")
+    levels = sent.groupBy("b").applyInArrow(count, "c int, b int, levels binary")
+    none = F.lit(None).cast("long")
+    back = levels.select(none.alias("node"), none.alias("doc_id"), none.alias("v"), "c", "b", "levels").union(classes.select("node", "doc_id", "v", "c", F.lit(None).cast("int"), F.lit(None).cast("binary")))
+    return at.groupBy("c").cogroup(back.groupBy("c")).applyInArrow(rest, "node long, n long, alone long, shared array<bigint>")
 
 
 def least_overlap(n, percent: int):
@@ -137,28 +150,59 @@ def least_overlap(n, percent: int):
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b) with inter and union, the sizes of the intersection and of the union."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     out = pairs.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("inter"), "na", "nb")
     return out.select("a", "b", "inter", (F.col("na") + F.col("nb") - F.col("inter")).alias("union"))
 
 
 def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (smallest doc_id with an equal set) of every row of docs."""
-    source = docs.select("doc_id", F.col(text).alias("text"))
+    return jaccard_groups(keyed(docs, text), k, percent).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def jaccard_groups(source: DataFrame, k: int, percent: int) -> DataFrame:
+    """What jaccard_join returns, with v and, as component, a number of the component (null for documents without words); source is keyed()."""
     at = materialise(identities(source, k), "jaccard-sets")
     full = at.where("n_shingles > 0")
-    named = full.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("class_id"))
-    classes = named.select(F.col("class_id").alias("doc_id"))
+    classes = full.groupBy(*IDENTITY).agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "v")).alias("r"))
+    classes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "low", F.col("r.doc_id").alias("doc_id"), F.col("r.v").alias("v"), *IDENTITY), "jaccard-classes")
+    member = materialise(full.join(classes.select("node", "low", *IDENTITY), IDENTITY).select("doc_id", "v", "n_shingles", "node", "low"), "jaccard-members")
     sets = materialise(shared_sets(source, classes, k, percent), "jaccard-shared")
-    tokens = materialise(sets.select("doc_id", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")).cast("int"))).alias("pos", "token")), "jaccard-lists")
-
+    links = similar_pairs(sets, percent)
+    # Texts of one doc_id: each class but the least is tied to that.
+    several = member.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+    same = member.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+    label = materialise(connected_components(links.union(same)), "jaccard-labels")
+    # The least doc_id of each component, over its classes.
+    named = label.join(classes.select("node", "low"), "node")
+    named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id", "component")
+    named = member.join(named, "node", "left").withColumn("component_id", F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("component_id")))
+    out = named.select("doc_id", "v", "n_shingles", "component_id", F.col("low").alias("class_id"), F.coalesce("component", "node").alias("component"))
+    return out.union(at.where("n_shingles = 0").select("doc_id", "v", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(None).cast("long")))
+
+
+def one_of_each(docs: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
+    """The rows of docs that stand for their component: the smallest doc_id's (rows without one come last, ties by a hash of the text).
+    Documents without words all stay; rows that repeat a doc_id and its text stay one."""
+    groups = jaccard_groups(keyed(docs, text), k, percent)
+    first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "v")).alias("r"))
+    stays = first.select("r.doc_id", "r.v").union(groups.where("component is null").select("doc_id", "v").distinct())
+    stays = stays.select(F.struct("doc_id", "v").alias("_near_key"))
+    at = docs.withColumn("_near_key", F.struct("doc_id", F.xxhash64(text).alias("v")))
+    return at.join(stays, "_near_key", "left_semi").dropDuplicates(["_near_key"]).select(*docs.columns)
+
+
+def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets (node, n, alone, shared) that reach the threshold: as many as connect what links connect."""
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")
+    tokens = materialise(sets.select("node", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("pos", "token")), "jaccard-lists")
     links, tested, label = None, None, None
-    near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     for star in (F.min, F.max):
         open_ = open_lists(tokens, label)
-        centre = open_.groupBy("token").agg(star(F.struct("doc_id", "n")).alias("m")).select("token", F.col("m.doc_id").alias("a"), F.col("m.n").alias("na"))
-        pairs = open_.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb")).join(centre, "token").where("a <> b").where(near)
+        centre = open_.groupBy("token").agg(star(F.struct("node", "n")).alias("m")).select("token", F.col("m.node").alias("a"), F.col("m.n").alias("na"))
+        pairs = open_.select("token", F.col("node").alias("b"), F.col("n").alias("nb")).join(centre, "token").where("a <> b").where(near)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = materialise(verify(pairs, sets, percent), "jaccard-tested")
@@ -167,23 +211,22 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "te
         label = materialise(connected_components(links), "jaccard-labels")
     # Every compared set knows how far it is from the smallest set that it was compared with: |x - y| + |y - x| in shingles.
     away = tested.select("a", "b", (F.col("union") - F.col("inter")).alias("away"))
-    away = away.select(F.col("a").alias("doc_id"), F.col("b").alias("centre"), "away").union(away.select("b", "a", "away"))
-    away = away.union(away.select("doc_id", F.col("doc_id").alias("centre"), F.lit(0).cast("long")).distinct())
-    away = away.groupBy("doc_id").agg(F.min(F.struct("centre", "away")).alias("m")).select("doc_id", "m.centre", "m.away")
-    open_ = materialise(open_lists(tokens, label).join(away, "doc_id", "left"), "jaccard-open")
-    side = lambda s: open_.select("token", F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), (F.col("n") - F.col("alone") - F.col("pos")).alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("centre").alias(f"m{s}"), F.col("away").alias(f"d{s}"), F.greatest(F.lit(0), F.col("away") - F.col("alone")).alias(f"s{s}"), F.explode(F.array(*((F.col("block") + i) for i in ((0,) if s == "a" else (-1, 0, 1))))).alias("block"))
-    cross = side("a").join(side("b"), ["token", "block"]).where("a < b and ca <> cb").where(near)
+    away = away.select(F.col("a").alias("node"), F.col("b").alias("centre"), "away").union(away.select("b", "a", "away"))
+    away = away.union(away.select("node", F.col("node").alias("centre"), F.lit(0).cast("long")).distinct())
+    away = away.groupBy("node").agg(F.min(F.struct("centre", "away")).alias("m")).select("node", "m.centre", "m.away")
+    open_ = materialise(open_lists(tokens, label).join(away, "node", "left").withColumn("left", F.col("n") - F.col("alone") - F.col("pos")), "jaccard-open")
+    side = lambda s: [F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("centre").alias(f"m{s}"), F.col("away").alias(f"d{s}"), F.greatest(F.lit(0), F.col("away") - F.col("alone")).alias(f"s{s}")]
+    # The smaller set a of a pair shares 2 percent / (100 + percent) of itself at least, which its later places can't; b is in its block of sizes or the next.
+    smaller = open_.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).select("token", *side("a"), F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
+    cross = smaller.join(open_.select("token", "block", *side("b")), ["token", "block"]).where("(na < nb or na = nb and a < b) and ca <> cb").where(near)
     # ceil(percent / (100 + percent) * (na + nb)) must be shared; from this token on at most leftx are.
     cross = cross.where(F.least("lefta", "leftb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
     # Both differ from one centre by known numbers, of which they can share no more than isn't theirs alone.
     apart = (F.col("da") + F.col("db") - 2 * F.least("sa", "sb")) * (100 + percent) > (F.col("na") + F.col("nb")) * (100 - percent)
     cross = cross.where(~F.coalesce((F.col("ma") == F.col("mb")) & apart, F.lit(False)))
-    cross = cross.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
     found = materialise(verify(cross, sets, percent), "jaccard-tested")
-    links = links.union(found.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b"))
-    label = connected_components(links).select(F.col("node").alias("class_id"), "component")
-    member = full.join(named, ["n_shingles", "h1", "h2"]).join(label, "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
-    return member.union(at.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id")))
+    return links.union(found.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b"))
 
 
 def open_lists(tokens: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -191,8 +234,8 @@ def open_lists(tokens: DataFrame, label: DataFrame | None) -> DataFrame:
     # Sizes of a pair differ by at most one block, for any threshold of a half or more.
     at = tokens.withColumn("block", F.floor(F.log2(F.col("n"))).cast("int"))
     if label is None:
-        at = at.withColumn("component", F.col("doc_id"))
+        at = at.withColumn("component", F.col("node"))
     else:
-        at = at.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        at = at.join(label.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     more = at.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     return at.join(more, "token", "left_semi")

@@ -15,7 +15,8 @@ def op1_quality_rules(spark, sf_dir):
 
 
 def op2_substring_dedup(spark, sf_dir):
-    return sub.substring_dedup(table(spark, sf_dir, "documents"))
+    out = sub.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("intervals").cast("long").alias("n_intervals"))
 
 
 def op3_quality_gam(spark, sf_dir):
@@ -26,7 +27,7 @@ def op3_quality_gam(spark, sf_dir):
 
 
 def op4_decontaminate(spark, sf_dir):
-    return dec.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+    return dec.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "text_hash")
 
 
 def op5_packing(spark, sf_dir):

@@ -7,22 +7,24 @@ earlier (smaller doc_id, or the same document further up).
    one form a segment. Equal windows have equal minimisers, so a window whose minimiser stands at one
    place only cannot be repeated. Chunks of documents send their distinct minimisers, packed, to
    buckets and get back those that occur again.
-2. Segments with such minimisers go to the shard of their minimiser, the first of equal segments of a
-   chunk alone (the others are repeats in any case): a hot passage arrives once from each chunk.
-   A shard numbers the BLOCK-word runs of its segments, sorts their suffixes as far as a window
+2. The words of segments with such minimisers go to the shard of their minimiser, of equal segments of a
+   chunk the first two: a hot passage arrives twice from each chunk, however many documents hold it.
+   A shard numbers the words and the BLOCK-word runs of its segments (by their bytes, so that equal numbers
+   are equal words), sorts the suffixes as far as a window
    reaches, and keeps the Burrows-Wheeler transform in a wavelet matrix of packed bits. All windows
    are searched backwards at once; a search ends as soon as its interval holds the window alone, so
    the steps that it made are the window's matching statistic, in blocks. The interval of a whole
    window begins with its earliest occurrence.
-3. The repeats found go back to their chunks, which drop the words and join the rest.
+3. Shards report runs of repeated windows, as intervals, to the chunks; what holds for the second of equal segments
+   holds for those after it. Chunks drop the words and join the rest.
 
-Chunks are hashes of doc_id; their number follows spark.sql.shuffle.partitions, so chunks and shards
-keep their size as the corpus and the cluster grow. The texts are shuffled once, to their chunks.
+Chunks are hashes of doc_id; their number and that of the shards follow the input's bytes (`pieces`), so that
+either keeps its size as the corpus grows. The texts are shuffled once, to their chunks.
 
-Words and runs are compared by 64-bit hashes. Defined results: null and empty texts have no words and
-an empty kept text; a null doc_id comes before all others; rows that share a doc_id are one document
-read more than once, so windows at equal starts are no repeats of each other; an empty table gives an
-empty result; other columns are ignored.
+Hashes only choose candidates; windows are compared as words. Defined results: null and empty texts have no words and
+an empty kept text; a null doc_id comes before all others; rows that share a doc_id are one document: equal
+rows are that document read again, and in rows with another text what stands further up in any of them is earlier;
+windows at equal starts are no repeats of each other; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,13 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_width
+from .common import pieces
 from .language_id import blocks, text_buffer
-from .wordhash import mix, window_hashes, word_table
+from .wordhash import exact_numbers, exact_runs, mix, ranges, window_hashes, word_table
 
 SIZE, RUN, BLOCK = 20, 8, 5
 #: A shard works through its segments in parts of at most about so many symbols, by their minimisers.
-PART = 1_500_000
+PART = 400_000
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -56,14 +58,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Segments:
-    """The segments of a run of texts: minimiser, whether it stands there twice, hash of all words, row, first word in the row's text and number of windows.
-
-    blocks: hashes of BLOCK-word runs at each word of the texts; at: a segment's first word among them.
-    """
+    """The segments of a run of texts: minimiser, whether it stands there twice, row, first word in the row's text and number of windows."""
 
     def __init__(self, text: pa.Array, row: int):
         data, ends = text_buffer(text)
-        _, _, owner, h = word_table(data, ends)
+        begin, stop, owner, h = word_table(data, ends)
+        self.data, self.begin, self.size = data, begin, stop - begin
         self.words = np.bincount(owner, minlength=len(ends))
         runs = window_hashes(h, RUN)
         minimum = sliding_min(runs, SIZE - RUN + 1)
@@ -83,19 +83,18 @@ class Segments:
         first = np.cumsum(self.words) - self.words
         self.row = owner[self.at] + row
         self.start = self.at - first[owner[self.at]]
-        self.blocks = window_hashes(h, BLOCK)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.blocks) * self._odd(len(self.blocks)), dtype=np.uint64)]) if len(self.at) else np.zeros(1, np.uint64)
-        # Blocks at every word of a segment tell its words; the sum is made to begin alike wherever the segment lies.
-        self.content = mix((sums[self.at + self.symbols()] - sums[self.at]) * self._odd(len(self.blocks), True)[self.at] + self.n.astype(np.uint64)) if len(self.at) else np.zeros(0, np.uint64)
-
-    @staticmethod
-    def _odd(n: int, inverse: bool = False) -> np.ndarray:
-        from .wordhash import _INVERSE, BASE, powers
-
-        return powers(_INVERSE if inverse else BASE, max(1, n))[:n]
 
-    def symbols(self) -> np.ndarray:
-        return self.n + SIZE - BLOCK
+    def texts(self, which: np.ndarray) -> list[bytes]:
+        """The words of some segments, each ended by a blank."""
+        count = self.n[which] + SIZE - 1
+        word = ranges(self.at[which], count)
+        size = self.size[word] + 1
+        end = np.cumsum(size)
+        out = self.data[np.minimum(ranges(self.begin[word], size), len(self.data) - 1)]
+        out[end - 1] = 32
+        cuts = np.concatenate([np.zeros(1, np.int64), end])[np.cumsum(np.concatenate([np.zeros(1, np.int64), count]))].tolist()
+        raw = out.tobytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def chunk_segments(texts: pa.Array) -> list[Segments]:
@@ -107,21 +106,41 @@ def chunk_segments(texts: pa.Array) -> list[Segments]:
     return out
 
 
+def chosen_texts(parts: list[Segments], chosen: np.ndarray) -> list[bytes]:
+    """The words of the chosen segments of all parts, which chosen marks one part after another."""
+    out, at = [], 0
+    for p in parts:
+        out += p.texts(np.flatnonzero(chosen[at : at + len(p.n)]))
+        at += len(p.n)
+    return out
+
+
+def models(texts: list[bytes], doc: list[int], start: list[int]) -> list[int]:
+    """For each segment (in the order of doc) the place of the one that stands for it: of equal segments the first stands for those at
+    its own doc and start, the next one for all others."""
+    seen: dict[bytes, list[int]] = {}
+    out = []
+    for k, t in enumerate(texts):
+        have = seen.setdefault(t, [k])
+        if doc[have[0]] == doc[k] and start[have[0]] == start[k]:
+            out.append(have[0])
+            continue
+        if len(have) == 1:
+            have.append(k)
+        out.append(have[1])
+    return out
+
+
 def one_array(column: pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
-def ordered(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
-    """The rows' doc_ids and texts, in the order of doc_id."""
+def ordered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The order of the rows by doc_id and the hash of their text, and in it the doc_ids, these hashes and the texts."""
     ids = one_array(table.column("doc_id")).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], one_array(table.column("text")).take(pa.array(order))
-
-
-def first_of_equals(content: np.ndarray) -> np.ndarray:
-    """For each element the first place with its value."""
-    _, first, number = np.unique(content, return_index=True, return_inverse=True)
-    return first[number]
+    variant = one_array(table.column("v")).to_numpy(zero_copy_only=False)
+    order = np.lexsort((variant, ids))
+    return order, ids[order], variant[order], one_array(table.column("text")).take(pa.array(order, pa.int64()))
 
 
 class WaveletMatrix:
@@ -201,11 +220,10 @@ class FmIndex:
         return deep, low, high
 
 
-def repeated_windows(blocks_: np.ndarray, n: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Of segments in the order of (doc, start), with their BLOCK-run hashes one after another: True for every
-    window (n of each segment) that also starts earlier."""
+def repeated_windows(symbols: np.ndarray, n: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Of segments in the order of (doc, start), with the numbers of their BLOCK-word runs (from 1) one after another: True for
+    every window (n of each segment) that also starts earlier."""
     size = n + SIZE - BLOCK
-    symbols = np.unique(blocks_, return_inverse=True)[1] + 1
     place = np.arange(len(symbols)) - np.repeat(np.cumsum(size) - size, size)
     index = FmIndex(symbols, np.repeat(size, size) - 1 - place)
     window = np.flatnonzero(place < np.repeat(n, size))
@@ -220,8 +238,13 @@ def repeated_windows(blocks_: np.ndarray, n: np.ndarray, doc: np.ndarray, start:
     return out
 
 
-def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
+def segment_symbols(texts: list[bytes], n: np.ndarray) -> np.ndarray:
+    """The numbers of the BLOCK-word runs of segments of n windows, one segment after another, from 1."""
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    begin, stop, _, h = word_table(data, np.cumsum([len(t) for t in texts]))
+    runs = exact_runs(exact_numbers(data, begin, stop, h), BLOCK)
+    words = n + SIZE - 1
+    return runs[ranges(np.cumsum(words) - words, words - BLOCK + 1)] + 1
 
 
 def packed(key: np.ndarray, keys: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -237,15 +260,14 @@ def spread(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every row of docs.
+    """doc_id, n_words, n_removed, kept_sha256 and intervals (start and length in words of each run of removed words) of every row of docs.
 
     kept_text: all columns of docs before these, the text being the kept words joined by blanks where words went,
     and as it was elsewhere.
     """
-    width = shuffle_width(docs.sparkSession)
-    chunks, buckets = 4 * width, width
+    chunks, buckets = pieces(docs, 4), pieces(docs)
     carried = [c for c in docs.columns if c not in ("doc_id", text)] if kept_text else []
-    at = docs.select("doc_id", F.col(text).alias("text"), *(F.col(c).alias(f"x{k}") for k, c in enumerate(carried))).withColumn("c", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    at = docs.select("doc_id", F.col(text).alias("text"), *(F.col(c).alias(f"x{k}") for k, c in enumerate(carried)), F.xxhash64(text).alias("v")).withColumn("c", F.pmod(F.xxhash64("doc_id", "v"), F.lit(chunks)).cast("int"))
 
     def minimisers(key: tuple, table: pa.Table) -> pa.Table:
         parts = chunk_segments(one_array(table.column("text")))
@@ -267,34 +289,30 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
         return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["c", "found"])
 
     def send(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["shard", "c", "minimum", "doc", "start", "n", "blocks"]
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        names = ["shard", "c", "minimum", "doc", "variant", "start", "n", "words"]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.binary())]
         repeated = np.sort(np.frombuffer(b"".join(right.column("found").to_pylist()), dtype=np.uint64))
         if not len(repeated) or not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names)
-        ids, texts = ordered(left)
+        _, ids, variant, texts = ordered(left)
         parts = chunk_segments(texts)
-        join = lambda name: np.concatenate([getattr(p, name) for p in parts])
-        minimum, content, row, start, n = map(join, ("minimum", "content", "row", "start", "n"))
+        minimum, row, start, n = (np.concatenate([getattr(p, name) for p in parts]) for name in ("minimum", "row", "start", "n"))
         i = np.minimum(np.searchsorted(repeated, minimum), len(repeated) - 1)
-        chosen = (repeated[i] == minimum) & (first_of_equals(content) == np.arange(len(content)))
-        shift = np.cumsum([0, *(len(p.blocks) for p in parts)])
-        begin = np.concatenate([p.at + s for p, s in zip(parts, shift)])
-        blocks_ = np.concatenate([p.blocks for p in parts])
-        which = np.flatnonzero(chosen)
-        rows = []
-        for shard, k in packed(spread(minimum[which], buckets), buckets):
-            k = which[k]
-            rows.append((shard, key[0].as_py(), minimum[k].tobytes(), ids[row[k]].tobytes(), start[k].astype(np.int32).tobytes(), n[k].astype(np.int32).tobytes(), blocks_[ranges(begin[k], n[k] + SIZE - BLOCK)].tobytes()))
+        which = np.flatnonzero(repeated[i] == minimum)
+        words = chosen_texts(parts, repeated[i] == minimum)
+        first = np.array([own == k for k, own in enumerate(models(words, ids[row[which]].tolist(), start[which].tolist()))], dtype=bool)
+        rows, order = [], np.flatnonzero(first)
+        for shard, k in packed(spread(minimum[which[order]], buckets), buckets):
+            w = which[order[k]]
+            rows.append((shard, key[0].as_py(), minimum[w].tobytes(), ids[row[w]].tobytes(), variant[row[w]].tobytes(), start[w].astype(np.int32).tobytes(), n[w].astype(np.int32).tobytes(), [words[j] for j in order[k].tolist()]))
         return pa.table([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], names)
 
     def search(table: pa.Table) -> pa.Table:
         c = np.repeat(table.column("c").to_numpy(), [len(x) // 8 for x in table.column("minimum").to_pylist()])
         get = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-        minimum, doc, start, n, blocks_ = get("minimum", np.uint64), get("doc", np.int64), get("start", np.int32).astype(np.int64), get("n", np.int32).astype(np.int64), get("blocks", np.uint64)
-        size = n + SIZE - BLOCK
-        begin = np.cumsum(size) - size
-        many = int(-(-size.sum() // PART))
+        minimum, doc, variant, start, n = get("minimum", np.uint64), get("doc", np.int64), get("variant", np.int64), get("start", np.int32).astype(np.int64), get("n", np.int32).astype(np.int64)
+        words = one_array(table.column("words")).flatten()
+        many = int(-(-(n + SIZE - BLOCK).sum() // PART))
         part = (mix(minimum ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(max(1, many))).astype(np.int64)
         found = []
         for p in range(many):
@@ -302,18 +320,24 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
             k = k[np.lexsort((start[k], doc[k]))]
             if not len(k):
                 continue
-            gone = repeated_windows(blocks_[ranges(begin[k], size[k])], n[k], doc[k], start[k])
-            window = np.repeat(k, n[k])[gone]
-            found.append((c[window], doc[window], (np.repeat(start[k], n[k]) + ranges(np.zeros(len(k), np.int64), n[k]))[gone]))
+            gone = repeated_windows(segment_symbols(words.take(pa.array(k)).to_pylist(), n[k]), n[k], doc[k], start[k])
+            # Runs of repeated windows inside a segment.
+            segment, place = np.repeat(np.arange(len(k)), n[k]), ranges(np.zeros(len(k), np.int64), n[k])
+            before = np.append(False, gone[:-1]) & (place > 0)
+            opens = np.flatnonzero(gone & ~before)
+            after = np.append(gone[1:], False) & (place < n[k][segment] - 1)
+            closes = np.flatnonzero(gone & ~after)
+            s = k[segment[opens]]
+            found.append((c[s], doc[s], variant[s], start[s] + place[opens], closes - opens + 1))
         rows = []
         if found:
-            cs, ds, ps = (np.concatenate([f[j] for f in found]) for j in range(3))
+            cs, ds, vs, ps, ns = (np.concatenate([f[j] for f in found]) for j in range(5))
             for chunk, i in packed(cs, int(cs.max(initial=0)) + 1):
-                rows.append((chunk, ds[i].tobytes(), ps[i].astype(np.int32).tobytes()))
-        return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["c", "doc", "start"])
+                rows.append((chunk, ds[i].tobytes(), vs[i].tobytes(), ps[i].astype(np.int32).tobytes(), ns[i].astype(np.int32).tobytes()))
+        return pa.table([pa.array([r[j] for r in rows], pa.binary() if j else pa.int32()) for j in range(5)], ["c", "doc", "variant", "start", "n"])
 
     def drop(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, texts = ordered(left) if left.num_rows else (np.zeros(0, np.int64), pa.array([], pa.string()))
+        order, ids, variant, texts = ordered(left) if left.num_rows else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.string()))
         parts = chunk_segments(texts)
         words = np.concatenate([p.words for p in parts]) if parts else np.zeros(0, np.int64)
         first = np.cumsum(words) - words
@@ -323,28 +347,39 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
             np.add.at(change, first[row] + start, 1)
             np.add.at(change, first[row] + start + length, -1)
 
-        if parts:
-            join = lambda name: np.concatenate([getattr(p, name) for p in parts])
-            content, row, start, n = map(join, ("content", "row", "start", "n"))
-            model = first_of_equals(content)
-            later = (ids[row[model]] < ids[row]) | (ids[row[model]] == ids[row]) & (start[model] < start)
-            mark(row[later], start[later], n[later] + SIZE - 1)
-        doc = np.frombuffer(b"".join(right.column("doc").to_pylist()), dtype=np.int64)
-        at_ = np.frombuffer(b"".join(right.column("start").to_pylist()), dtype=np.int32).astype(np.int64)
-        low, high = np.searchsorted(ids, doc, side="left"), np.searchsorted(ids, doc, side="right")
-        same = high - low  # rows that share the doc_id
-        row, start = ranges(low, same), np.repeat(at_, same)
-        fits = start + SIZE <= words[row] if len(row) else np.zeros(0, bool)
-        mark(row[fits], start[fits], np.full(int(fits.sum()), SIZE))
+        doc, which, at_, many = (np.frombuffer(b"".join(right.column(name).to_pylist()), dtype=kind).astype(np.int64) for name, kind in (("doc", np.int64), ("variant", np.int64), ("start", np.int32), ("n", np.int32)))
+        edge = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (variant[1:] != variant[:-1]), [True]])) if len(ids) else np.zeros(1, np.int64)
+        place_of = dict(zip(zip(ids[edge[:-1]].tolist(), variant[edge[:-1]].tolist()), range(len(edge) - 1)))
+        at_row = np.array([place_of[k] for k in zip(doc.tolist(), which.tolist())], dtype=np.int64)
+        low, high = edge[at_row], edge[at_row + 1] if len(at_row) else at_row  # equal rows
+        own, equal = np.repeat(np.arange(len(doc)), high - low), ranges(low, high - low)
+        mark(equal, at_[own], many[own] + SIZE - 1)
+        if parts and len(doc):
+            # What was found in the first two of equal segments holds for the others.
+            minimum, row, start, n = (np.concatenate([getattr(p, name) for p in parts]) for name in ("minimum", "row", "start", "n"))
+            _, number, counts = np.unique(minimum, return_inverse=True, return_counts=True)
+            several = np.flatnonzero(counts[number] > 1)
+            model = several[models(chosen_texts(parts, counts[number] > 1), ids[row[several]].tolist(), start[several].tolist())]
+            copy, model = several[model != several], model[model != several]
+            begin = first[low] + at_  # where intervals begin among the chunk's words
+            by = np.argsort(begin, kind="stable")
+            top = first[row[model]] + start[model]
+            a = np.searchsorted(begin[by], top, side="left")
+            b = np.searchsorted(begin[by], top + n[model], side="left")
+            pick, of = by[ranges(a, b - a)], np.repeat(np.arange(len(copy)), b - a)
+            mark(row[copy][of], start[copy][of] + begin[pick] - top[of], many[pick] + SIZE - 1)
         gone = np.cumsum(change)[:-1] > 0
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(gone)])
         removed = total[first + words] - total[first]
-        order = np.argsort(one_array(left.column("doc_id")).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False), kind="stable") if left.num_rows else []
-        sums, kept = [], []
+        sums, kept, spans = [], [], []
         for i, t in enumerate(texts):
-            raw = (t.as_py() or "").encode().split()
+            raw, runs = (t.as_py() or "").encode().split(), []
             if removed[i]:
-                raw = [raw[k] for k in np.flatnonzero(~gone[first[i] : first[i] + words[i]])]
+                away = np.concatenate([[False], gone[first[i] : first[i] + words[i]], [False]])
+                edges = np.flatnonzero(away[1:] != away[:-1]).tolist()
+                runs = [{"start": a, "length": b - a} for a, b in zip(edges[::2], edges[1::2])]
+                raw = [raw[k] for k in np.flatnonzero(~away[1:-1])]
+            spans.append(runs)
             raw = b" ".join(raw)
             sums.append(hashlib.sha256(raw).hexdigest())
             if kept_text:
@@ -353,17 +388,17 @@ def substring_dedup(docs: DataFrame, text: str = "text", kept_text: bool = False
         if kept_text:
             out["text"] = pa.array(kept, pa.string())
             out |= {f"x{k}": one_array(left.column(f"x{k}")).take(pa.array(order, pa.int64())) for k in range(len(carried))} if left.num_rows else {f"x{k}": pa.array([], left.schema.field(f"x{k}").type) for k in range(len(carried))}
-        return pa.table(out | {"n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(sums, pa.string())})
+        return pa.table(out | {"n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(sums, pa.string()), "intervals": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))})
 
     repeated = at.groupBy("c").applyInArrow(minimisers, "b int, c int, found binary, twice binary").groupBy("b").applyInArrow(again, "c int, found binary")
-    sent = at.groupBy("c").cogroup(repeated.groupBy("c")).applyInArrow(send, "shard int, c int, minimum binary, doc binary, start binary, n binary, blocks binary")
-    found = sent.groupBy("shard").applyInArrow(search, "c int, doc binary, start binary")
+    sent = at.groupBy("c").cogroup(repeated.groupBy("c")).applyInArrow(send, "shard int, c int, minimum binary, doc binary, variant binary, start binary, n binary, words array<binary>")
+    found = sent.groupBy("shard").applyInArrow(search, "c int, doc binary, variant binary, start binary, n binary")
     base = "doc_id long, " + ("text string, " + "".join(f"x{k} {docs.schema[c].dataType.simpleString()}, " for k, c in enumerate(carried)) if kept_text else "")
-    out = at.groupBy("c").cogroup(found.groupBy("c")).applyInArrow(drop, base + "n_words long, n_removed long, kept_sha256 string")
+    out = at.groupBy("c").cogroup(found.groupBy("c")).applyInArrow(drop, base + "n_words long, n_removed long, kept_sha256 string, intervals array<struct<start:long,length:long>>")
     if not kept_text:
         return out
     back = {"doc_id": "doc_id", text: "text"} | {c: f"x{k}" for k, c in enumerate(carried)}
-    return out.select(*(F.col(back[c]).alias(c) for c in docs.columns), "n_words", "n_removed", "kept_sha256")
+    return out.select(*(F.col(back[c]).alias(c) for c in docs.columns), "n_words", "n_removed", "kept_sha256", "intervals")
 
 
 ORACLE = r"""
@@ -371,6 +406,7 @@ with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
 win as (select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as win from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d where len(w) >= 20)),
 gone as (select doc_id, i from (select doc_id, i, row_number() over (partition by win order by doc_id, i) as k from win) where k > 1),
 p as (select doc_id, list(distinct p) as p from (select doc_id, unnest(range(i, i + 20)) as p from gone) group by doc_id),
-k as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(p), 0) as bigint) as n_removed, w, coalesce(p, []) as p from d left join p using (doc_id))
-select doc_id, n_words, n_removed, sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(p, i)), ' ')) as kept_sha256 from k
+r as (select doc_id, count(*) as n from (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from (select doc_id, unnest(p) as p from p)) where before is null or before < p - 1 group by doc_id),
+k as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(p), 0) as bigint) as n_removed, cast(coalesce(r.n, 0) as bigint) as n_intervals, w, coalesce(p, []) as p from d left join p using (doc_id) left join r using (doc_id))
+select doc_id, n_words, n_removed, n_intervals, sha256(array_to_string(list_filter(w, lambda x, i: not list_contains(p, i)), ' ')) as kept_sha256 from k
 """

@@ -8,7 +8,8 @@ import pytest
 from foliospark.llm import jaccard_join as jac, substring_dedup as sub
 from foliospark.llm.components import connected_components
 from foliospark.llm.decontaminate import decontaminate
-from foliospark.llm.wordhash import word_table
+from foliospark.llm import wordhash
+from foliospark.llm.wordhash import exact_numbers, word_table
 
 SPLIT = re.compile("[\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, c int, n_words string, found string"  # columns that clash with inner names
@@ -182,3 +183,53 @@ def test_decontamination_without_items_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b c"), (None, "x")], "doc_id long, text string")
     assert sorted(map(tuple, decontaminate(docs, items).select("doc_id", "n_hit", "contaminated").collect()), key=str) == [(1, 0, False), (None, 0, False)]
     assert decontaminate(docs.limit(0), spark.createDataFrame([(1, "a b")], "item_id long, text string")).collect() == []
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_a_polynomial_hashes_alike_stay_apart(spark):
+    a, b = thue_morse(1024), thue_morse(1024).translate(str.maketrans("ab", "ba"))
+    t = [f"k{i}" for i in range(19)]
+    rows = spark.createDataFrame([(1, " ".join([*t, a])), (2, " ".join([*t, b])), (3, a), (4, b)], "doc_id long, text string")
+    assert [r.n_removed for r in sub.substring_dedup(rows).orderBy("doc_id").collect()] == [0, 0, 0, 0]
+    assert [r.component_id for r in jac.jaccard_join(rows).orderBy("doc_id").collect()] == [1, 2, 3, 4]
+
+
+def test_numbers_are_exact_whatever_the_hashes():
+    raw = [b"a", b"b", b"a", b"cc", b"b", b"", b"cc", b"cd"]
+    data, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw])
+    begin = ends - [len(r) for r in raw]
+    for h in (np.zeros(8, np.uint64), np.array([len(r) for r in raw], np.uint64), np.array([sum(r) % 3 for r in raw], np.uint64)):
+        got = exact_numbers(data, begin, ends, h)
+        assert [[x == y for x in got] for y in got] == [[x == y for x in raw] for y in raw]
+
+
+@pytest.mark.parametrize("bits", [3, 10])
+def test_runs_are_exact_when_hashes_collide(monkeypatch, bits):
+    draw = np.random.default_rng(bits)
+    number = draw.integers(0, 3, 300)
+    monkeypatch.setattr(wordhash, "mix", lambda h: h & np.uint64((1 << bits) - 1))
+    got, runs = wordhash.exact_runs(number, 5), [tuple(number[i : i + 5]) for i in range(296)]
+    assert len(set(got.tolist())) == len(set(runs)) == len(set(zip(got.tolist(), runs)))
+
+
+def test_substring_dedup_of_differing_texts_under_one_id(spark):
+    draw = random.Random(8)
+    p, q = prose(draw, 25, 10**6), prose(draw, 30, 10**6)
+    a, b = " ".join(p + q), " ".join(["x", "y"] + q)
+    rows = [(5, a), (5, b), (5, a), (9, " ".join(q)), (None, " ".join(p)), (7, None)]
+    found = sub.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, [tuple(x) for x in r.intervals]) for r in found), key=str)
+    # p stands first in the null row, q in b (at 2) before a (at 25).
+    assert got == sorted([(5, 55, 55, [(0, 55)]), (5, 55, 55, [(0, 55)]), (5, 32, 0, []), (9, 30, 30, [(0, 30)]), (None, 25, 0, []), (7, 0, 0, [])], key=str)
+
+
+def test_jaccard_join_of_differing_texts_under_one_id_and_of_null_ids(spark):
+    draw = random.Random(6)
+    a, b, c, d = (prose(draw, 100, 10**6) for _ in range(4))
+    near = lambda w: " ".join([*w[:-1], "end"])
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (7, " ".join(b)), (9, near(b)), (3, near(a)), (None, " ".join(c)), (None, near(c)), (12, " ".join([*c[:-1], "other"])), (None, " ".join(d)), (None, None), (4, "")]
+    got = sorted((map(tuple, jac.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())), key=str)
+    assert got == sorted([(7, 3), (7, 3), (7, 3), (9, 3), (3, 3), (None, 12), (None, 12), (12, 12), (None, None), (None, None), (4, 4)], key=str)
