@@ -5,19 +5,19 @@
    shingle between chunks and buckets, which also tells how many classes hold the others. The order of tokens is: those of one
    class alone, then from rare to frequent. A set with as many tokens of its own
    as its prefix is long links with nothing, and is done: this leaves out all but a class's near copies.
-3. The others' prefixes make index lists of (token, set, size, position). From a list, every set is
-   first compared with one set, the list's centre. Answers of a set that links with the centre are
-   derived from the centre's: both are in one component already, so the two are not compared again.
-   Lists whose sets are in one component by then are skipped whole. From the others, pairs over
-   different components are compared in blocks by size. Of the smaller set of a pair only the first places enter a
-   list, those from which it can still share as much as with a set of its own size; the larger one gives its whole prefix. A pair is
-   skipped if its sizes, or what its positions leave to share, can't reach the threshold.
-4. Links that hold make components; copies take the component of their class.
-
-No list of a hot token is collected anywhere: lists are aggregated by token before the shuffle and
-pairs with the centre are as many as the list is long. The answers of two sets with one centre bound
-each other: x and y differ by at least what x and y each differ from the centre, less twice what of
-these differences they may share, which their shingles of one class alone can't be.
+3. Sets with a least shingle in common, by any of LEADS hashes, are first compared with one of them, the centre: the set whose
+   shingles most others have. Answers of a set that links with the centre are derived from the centre's: what is known to be in
+   one component already is not compared again. Answers of the others bound their pairs: x and y differ by at least what x and y
+   each differ from a centre, less twice what of these differences they may share, which shingles of one class alone can't be.
+4. The prefixes, rare shingles first, make index lists of (token, set, size, position). Lists whose sets are in one component by
+   then are skipped whole. From the others, pairs over different components are compared in blocks by size. Of the smaller set of
+   a pair only the first places enter a list, those from which it can still share as much as with a set of its own size; the
+   larger one gives its whole prefix. A pair is skipped if its sizes, what its positions leave to share, or its answers for a
+   centre show that it can't reach the threshold.
+5. Links that hold make components; copies take the component of their class.
+
+No list of a hot token is collected anywhere: centres are chosen by sums that begin before the shuffle, pairs with a centre are
+as many as its list is long, and a shingle of very many sets stands at the end of their order, mostly beyond the prefix.
 
 Shingles are compared by 64-bit hashes, sets by 128 bits and their size. Defined results: a document without words has an empty
 set and is a component of its own; rows that share a doc_id are one document, linked by whatever any of its texts links with;
@@ -41,6 +41,8 @@ from .wordhash import mix, window_hashes, word_table
 
 #: What tells a set from others.
 IDENTITY = ["n_shingles", "h1", "h2"]
+#: How many hashes choose a set's least shingle.
+LEADS = 4
 
 
 def shingle_sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +92,7 @@ def identities(docs: DataFrame, k: int) -> DataFrame:
 
 
 def shared_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the classes that may link: node, size, alone (shingles of this class only) and the others, from rare to frequent.
+    """Of the classes that may link: node, size, alone (shingles of this class only), leads (the least of the others by some hashes) and these others, from rare to frequent.
 
     classes: node, and doc_id and v of the row that has its text.
     """
@@ -121,7 +123,7 @@ def shared_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
         return pa.table([table.column("c"), table.column("b"), pa.array([x.tobytes() for x in np.split(levels, ends[:-1])], pa.binary())], ["c", "b", "levels"])
 
     def rest(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = {"node": pa.int64(), "n": pa.int64(), "alone": pa.int64(), "shared": pa.list_(pa.int64())}
+        kinds = {"node": pa.int64(), "n": pa.int64(), "alone": pa.int64(), "typical": pa.int64(), "leads": pa.list_(pa.int64()), "shared": pa.list_(pa.int64())}
         marks = right.filter(pa.compute.is_valid(right.column("b")))
         nodes, n, h = own(left, right.filter(pa.compute.is_null(right.column("b"))))
         found, level = dict(zip(marks.column("b").to_pylist(), marks.column("levels").to_pylist())), np.zeros(len(h), dtype=np.uint8)
@@ -131,17 +133,19 @@ def shared_sets(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
         end = np.cumsum(n)
         common = up[end] - up[end - n]
         ok = np.flatnonzero(n - common < n - least_overlap(n, percent) + 1)
-        lists = []
+        lists, leads, typical = [], [], []
         for a, b in zip((end[ok] - n[ok]).tolist(), end[ok].tolist()):
             some = np.flatnonzero(level[a:b]) + a  # shingles ascend: a stable sort by level leaves ties in that order
             lists.append(h[some[np.argsort(level[some], kind="stable")]].view(np.int64))
-        return pa.table([pa.array(nodes[ok], pa.int64()), pa.array(n[ok]), pa.array((n - common)[ok]), pa.array(lists, kinds["shared"])], list(kinds))
+            typical.append(int(level[a:b].sum(dtype=np.int64)) * 1000 // (b - a))
+            leads.append(np.unique([mix(h[some] + np.uint64(salt)).min() for salt in range(LEADS)]).view(np.int64) if len(some) else np.zeros(0, np.int64))
+        return pa.table([pa.array(nodes[ok], pa.int64()), pa.array(n[ok]), pa.array((n - common)[ok]), pa.array(typical, pa.int64()), pa.array(leads, kinds["leads"]), pa.array(lists, kinds["shared"])], list(kinds))
 
     sent = at.groupBy("c").cogroup(classes.groupBy("c")).applyInArrow(send, "b int, c int, h binary")
     levels = sent.groupBy("b").applyInArrow(count, "c int, b int, levels binary")
     none = F.lit(None).cast("long")
     back = levels.select(none.alias("node"), none.alias("doc_id"), none.alias("v"), "c", "b", "levels").union(classes.select("node", "doc_id", "v", "c", F.lit(None).cast("int"), F.lit(None).cast("binary")))
-    return at.groupBy("c").cogroup(back.groupBy("c")).applyInArrow(rest, "node long, n long, alone long, shared array<bigint>")
+    return at.groupBy("c").cogroup(back.groupBy("c")).applyInArrow(rest, "node long, n long, alone long, typical long, leads array<bigint>, shared array<bigint>")
 
 
 def least_overlap(n, percent: int):
@@ -194,48 +198,46 @@ def one_of_each(docs: DataFrame, k: int, percent: int, text: str = "text") -> Da
 
 
 def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets (node, n, alone, shared) that reach the threshold: as many as connect what links connect."""
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")
-    tokens = materialise(sets.select("node", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("pos", "token")), "jaccard-lists")
-    links, tested, label = None, None, None
+    """Pairs (a, b) of sets (see shared_sets) that reach the threshold: as many as connect what links connect."""
+    good = F.col("inter") * 100 >= F.col("union") * percent
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    for star in (F.min, F.max):
-        open_ = open_lists(tokens, label)
-        centre = open_.groupBy("token").agg(star(F.struct("node", "n")).alias("m")).select("token", F.col("m.node").alias("a"), F.col("m.n").alias("na"))
-        pairs = open_.select("token", F.col("node").alias("b"), F.col("n").alias("nb")).join(centre, "token").where("a <> b").where(near)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = materialise(verify(pairs, sets, percent), "jaccard-tested")
-        tested = found if tested is None else tested.union(found)
-        links = tested.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b")
-        label = materialise(connected_components(links), "jaccard-labels")
-    # Every compared set knows how far it is from the smallest set that it was compared with: |x - y| + |y - x| in shingles.
+    # Sets that resemble each other mostly have a least shingle in common, by some of several hashes: the least node that has it is their centre.
+    led = sets.select("node", "n", "typical", F.explode("leads").alias("lead"))
+    centre = led.groupBy("lead").agg(F.max(F.struct("typical", "node", "n")).alias("m"), F.count("*").alias("many")).where("many > 1").select("lead", F.col("m.node").alias("a"), F.col("m.n").alias("na"))
+    pairs = led.select("lead", F.col("node").alias("b"), F.col("n").alias("nb")).join(centre, "lead").where("a <> b").select("a", "b").distinct()
+    tested = materialise(verify(pairs, sets, percent), "jaccard-tested")
+    links = tested.where(good).select("a", "b")
+    label = star_labels(links)
+    # Every set knows how far it is from its centres: |x - y| + |y - x| in shingles.
     away = tested.select("a", "b", (F.col("union") - F.col("inter")).alias("away"))
-    away = away.select(F.col("a").alias("node"), F.col("b").alias("centre"), "away").union(away.select("b", "a", "away"))
-    away = away.union(away.select("node", F.col("node").alias("centre"), F.lit(0).cast("long")).distinct())
-    away = away.groupBy("node").agg(F.min(F.struct("centre", "away")).alias("m")).select("node", "m.centre", "m.away")
-    open_ = materialise(open_lists(tokens, label).join(away, "node", "left").withColumn("left", F.col("n") - F.col("alone") - F.col("pos")), "jaccard-open")
-    side = lambda s: [F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("centre").alias(f"m{s}"), F.col("away").alias(f"d{s}"), F.greatest(F.lit(0), F.col("away") - F.col("alone")).alias(f"s{s}")]
+    away = away.select(F.col("b").alias("node"), F.col("a").alias("centre"), "away").union(away.select(F.col("a").alias("node"), F.col("a").alias("centre"), F.lit(0).cast("long")))
+    away = away.groupBy("node").agg(F.collect_set(F.struct("centre", "away")).alias("from"))
+    known = materialise(sets.select("node", "n", "alone", "shared").join(label, "node", "left").join(away, "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-known")
+    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")).cast("int")
+    lists = known.select("node", "n", "alone", "component", "from", F.floor(F.log2(F.col("n"))).cast("int").alias("block"), F.posexplode(F.slice("shared", F.lit(1), prefix)).alias("pos", "token"))
+    # Lists whose sets are all in one component are skipped.
+    open_ = lists.join(lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token"), "token", "left_semi")
+    open_ = materialise(open_.withColumn("left", F.col("n") - F.col("alone") - F.col("pos")), "jaccard-open")
+    side = lambda s: [F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("from").alias(f"f{s}"), F.col("alone").alias(f"s{s}")]
     # The smaller set a of a pair shares 2 percent / (100 + percent) of itself at least, which its later places can't; b is in its block of sizes or the next.
     smaller = open_.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).select("token", *side("a"), F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
     cross = smaller.join(open_.select("token", "block", *side("b")), ["token", "block"]).where("(na < nb or na = nb and a < b) and ca <> cb").where(near)
     # ceil(percent / (100 + percent) * (na + nb)) must be shared; from this token on at most leftx are.
     cross = cross.where(F.least("lefta", "leftb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
     # Both differ from one centre by known numbers, of which they can share no more than isn't theirs alone.
-    apart = (F.col("da") + F.col("db") - 2 * F.least("sa", "sb")) * (100 + percent) > (F.col("na") + F.col("nb")) * (100 - percent)
-    cross = cross.where(~F.coalesce((F.col("ma") == F.col("mb")) & apart, F.lit(False)))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    far = f"exists(fa, x -> exists(fb, y -> x.centre = y.centre and (x.away + y.away - 2 * greatest(0, least(x.away - sa, y.away - sb))) * {100 + percent} > (na + nb) * {100 - percent}))"
+    cross = cross.where(~F.coalesce(F.expr(far), F.lit(False)))
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     found = materialise(verify(cross, sets, percent), "jaccard-tested")
-    return links.union(found.where(F.col("inter") * 100 >= F.col("union") * percent).select("a", "b"))
-
-
-def open_lists(tokens: DataFrame, label: DataFrame | None) -> DataFrame:
-    """The lists whose sets aren't all in one component, with each set's component and block of sizes."""
-    # Sizes of a pair differ by at most one block, for any threshold of a half or more.
-    at = tokens.withColumn("block", F.floor(F.log2(F.col("n"))).cast("int"))
-    if label is None:
-        at = at.withColumn("component", F.col("node"))
-    else:
-        at = at.join(label.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = at.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    return at.join(more, "token", "left_semi")
+    return links.union(found.where(good).select("a", "b"))
+
+
+def star_labels(links: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of links: equal components are connected, though not all that are connected have equal ones."""
+    both = links.union(links.select("b", "a")).toDF("node", "next")
+    label = materialise(both.groupBy("node").agg(F.least("node", F.min("next")).alias("component")), "jaccard-labels")
+    for _ in range(2):  # the least label among neighbours, then that one's own label
+        near = both.join(label.select(F.col("node").alias("next"), "component"), "next").groupBy("node").agg(F.min("component").alias("component"))
+        up = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        label = materialise(near.join(up, "component", "left").select("node", F.least("up", "component").alias("component")), "jaccard-labels")
+    return label
