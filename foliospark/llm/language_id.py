@@ -3,19 +3,18 @@
 A text's vector is the mean of the embeddings of its byte n-grams, hashed into BUCKETS rows; since the
 softmax is linear, scoring folds both matrices into one table of BUCKETS x languages and averages that.
 Every n-gram of the whole text counts. Training is stochastic gradient descent over the bucket counts
-of at most MAX_FIT labelled texts (the smallest hashes of doc_id and text within each language), counted on the executors.
+of at most MAX_FIT different labelled texts (one of each language at least: those of the smallest hashes within it), counted on the executors.
 
-A temperature is fitted on a tenth of the sample that training does not see; a text is rejected as
-`und` where its calibrated score stays below `reject` (0 by default: only texts without a letter).
+A temperature is fitted on a tenth of the sample that training does not see, and on the same tenth the score from which on
+PRECISION of the predictions are right; below it, predictions are marked as rejected.
 
-Defined results: null or empty texts, and texts without a letter, get `und` and score 0; rows with a
-null lang are never learned from; repeated rows give repeated results; other columns are ignored; if
-nothing can be learned from, every text gets `und`.
+Defined results: null or empty texts, and texts without a letter, get `und` and score 0 and count as rejected; rows with a
+null lang are never learned from; repeated rows give repeated results, and are learned from once; other columns are ignored; if
+nothing can be learned from, every text gets `und`. More than MAX_LANGS languages are refused with an error.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import blas  # noqa: F401
 
 GRAMS, BUCKETS, DIM = (2, 3, 4), 1 << 13, 16
-MAX_FIT, MAX_LANGS = 3_000, 200
-_LETTER = re.compile(r"[^\W\d_]")
+MAX_FIT, MAX_LANGS, PRECISION = 3_000, 1_000, 0.99
 
 
 def bucket_stream(buffer: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...] = GRAMS, bits: int = 13) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -78,8 +76,12 @@ def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(found, return_counts=True)
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, rounds: int = 12, rate: float = 2.0, seed: int = 3) -> tuple[np.ndarray, float]:
-    """The folded table (embedding @ softmax weights) and the temperature."""
+    """The folded table (embedding @ softmax weights, times the temperature's factor) and the score below which predictions are rejected."""
     draw = np.random.default_rng(seed)
     emb = draw.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out = draw.normal(0, 0.1, (DIM, classes)).astype(np.float32)
@@ -102,62 +104,72 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
             emb[ids] -= step * share[:, None] * back * 10
     table = emb @ out
     scores = np.array([(rows[i][1] / max(1, rows[i][1].sum())) @ table[rows[i][0]] for i in held]).reshape(-1, classes)
-    return table, temperature(scores, labels[held])
+    heat = temperature(scores, labels[held])
+    p = softmax(scores * heat)
+    return (table * heat).astype(np.float32), rejection(p.max(axis=1), p.argmax(axis=1) == labels[held]) if len(held) else 0.0
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    z = np.exp(z - z.max(axis=1, keepdims=True))
+    return z / z.sum(axis=1, keepdims=True)
+
+
+def rejection(top: np.ndarray, right: np.ndarray, precision: float = PRECISION) -> float:
+    """The least score from which on `precision` of the predictions are right; 0 if all together are, above 1 if none are."""
+    order = np.argsort(-top, kind="stable")
+    good = np.flatnonzero(np.cumsum(right[order]) >= precision * np.arange(1, len(top) + 1))
+    return 0.0 if len(good) and good[-1] == len(top) - 1 else float(top[order[good[-1]]]) if len(good) else 1.1
 
 
 def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     """Of a grid, the factor on the scores with the least log loss on held-out texts."""
     best = (np.inf, 1.0)
     for t in np.geomspace(0.1, 10, 25):
-        z = scores * t
-        z = z - z.max(axis=1, keepdims=True) if len(z) else z
-        loss = float(-(z[np.arange(len(z)), labels] - np.log(np.exp(z).sum(axis=1))).mean()) if len(z) else 0.0
+        p = softmax(scores * t) if len(scores) else scores
+        loss = float(-np.log(np.maximum(p[np.arange(len(p)), labels], 1e-300)).mean()) if len(p) else 0.0
         best = min(best, (loss, float(t)))
     return best[1]
 
 
 def fit_sample(docs: DataFrame, most: int = MAX_FIT) -> DataFrame:
-    """At most `most` rows in all, as many of each lang as there are, by the smallest hash: doc_id, text, lang."""
-    key = F.xxhash64("doc_id", "text")
-    langs = [r["lang"] for r in docs.where("lang is not null and text is not null").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    each = max(1, most // max(1, len(langs)))
-    ids = docs.where(F.col("lang").isin(langs) & F.col("text").isNotNull()).select("lang", key.alias("h"))
-    # Spread over chunks first, so that no language's rows meet in one task; then the best of each chunk's best.
-    ids = ids.withColumn("c", F.pmod("h", F.lit(64)))
-    w = Window.partitionBy("lang", "c").orderBy("h")
-    best = ids.withColumn("k", F.row_number().over(w)).where(F.col("k") <= each)
-    best = best.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each).select("lang", "h").distinct()
-    return docs.withColumn("h", key).join(F.broadcast(best), ["lang", "h"], "left_semi").drop("h")
-
-
-def language_id(docs: DataFrame, labelled: DataFrame, reject: float = 0.0) -> DataFrame:
-    """doc_id, lang_pred and score of every row of docs (doc_id, text); labelled has doc_id, text and lang."""
+    """At most `most` different texts in all, as many of each lang as there are (one at least), by the smallest hash: text, lang."""
+    at = docs.where("lang is not null and text is not null").select("text", "lang", F.xxhash64("text").alias("h"))
+    sizes = {r["lang"]: r["n"] for r in at.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    each = max(1, most // max(1, len(sizes)))
+    # Some four times as many as are wanted are left by their hash alone, however many there are.
+    share = at.sparkSession.createDataFrame([(g, min(1 << 20, 64 + ((4 * each << 20) // max(1, n)))) for g, n in sizes.items()], "lang string, share long")
+    few = at.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share")).select("text", "lang", "h")
+    best = few.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each).select("lang", "h")
+    # Copies become one on the executors.
+    return few.join(F.broadcast(best), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
+
+
+def language_id(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """doc_id, lang_pred, score and rejected of every row of docs (doc_id, text); labelled has text and lang."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [counts_of(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([i.astype("<u2").tobytes() for i, _ in found], pa.binary()), pa.array([n.astype("<u4").tobytes() for _, n in found], pa.binary())], ["lang", "ids", "n"])
 
-    rows = fit_sample(labelled).select("text", "lang").mapInArrow(count, "lang string, ids binary, n binary").collect()
-    rows = sorted(((r["lang"], bytes(r["ids"]), bytes(r["n"])) for r in rows if r["ids"]))[: 2 * MAX_FIT]  # equal hashes may add a few
+    rows = fit_sample(labelled).mapInArrow(count, "lang string, ids binary, n binary").collect()  # MAX_FIT or, if there are more, a row a language
+    rows = sorted((r["lang"], bytes(r["ids"]), bytes(r["n"])) for r in rows if r["ids"])
     langs = sorted({r[0] for r in rows})
-    table, heat = (train([(np.frombuffer(i, "<u2").astype(np.int64), np.frombuffer(n, "<u4")) for _, i, n in rows], np.array([langs.index(g) for g, _, _ in rows]), len(langs)) if langs else (None, 1.0))
-    table = None if table is None else (table * heat).astype(np.float32)
+    table, cut = train([(np.frombuffer(i, "<u2").astype(np.int64), np.frombuffer(n, "<u4")) for _, i, n in rows], np.array([langs.index(g) for g, _, _ in rows]), len(langs)) if langs else (None, 1.1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole):
                 text = batch.column("text")
                 data, ends = text_buffer(text)
-                z, total = score_block(data, ends, table) if table is not None else (np.zeros((len(ends), 1)), np.zeros(len(ends)))
-                z = np.exp(z - z.max(axis=1, keepdims=True))
-                p = z / z.sum(axis=1, keepdims=True)
+                p = softmax(score_block(data, ends, table)[0] if table is not None else np.zeros((len(ends), 1)))
                 best, top = p.argmax(axis=1), p.max(axis=1)
-                known = np.array([bool(_LETTER.search(t.as_py() or "")) for t in text]) & (table is not None)
-                ok = known & (top >= reject)
-                pred = [langs[b] if k else "und" for b, k in zip(best, ok)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(np.where(known, top, 0.0), pa.float64())], ["doc_id", "lang_pred", "score"])
+                known = np.array([has_letter(t.as_py()) for t in text], dtype=bool) & (table is not None)
+                pred, top = [langs[b] if k else "und" for b, k in zip(best, known)], np.where(known, top, 0.0)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(top, pa.float64()), pa.array(~known | (top < cut))], ["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def score_block(data: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

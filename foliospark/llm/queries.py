@@ -42,7 +42,7 @@ def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = crc_mod(F.col("doc_id"), 3) == 1
     out = lid.language_id(docs.drop("lang"), docs.where(~held))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op8_reshard(spark, sf_dir):
