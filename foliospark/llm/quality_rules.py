@@ -23,12 +23,14 @@ MAX_REPEAT_PERCENT = 30
 #: name -> (SQL for a vote against or none, SQL for a vote in favour or none); a text that fits neither is an abstention.
 RULES = {
     "symbols": ("n_symbols * 30 > word_chars", None),
+    "symbol_words": ("n_symbol_words * 10 > n_words", None),
+    "letters": ("n_letters * 20 < word_chars * 17", "n_letters * 10 >= word_chars * 9"),
+    "marks": ("n_marks * 4 > n_words", None),
+    "capitals": ("n_capitals * 5 > 2 * word_chars", None),
     "repeats": ("n_repeat_words * 5 > n_words", None),
     "lines": ("n_dup_lines > 1 and n_dup_lines * 4 > n_lines", None),
     "word_length": ("word_chars > 14 * n_words or word_chars < 2 * n_words", "word_chars between 3 * n_words and 9 * n_words"),
-    "capitals": ("n_capitals * 5 > 2 * word_chars", None),
     "ends": ("n_ends = 0 or n_ends * 3 > n_words", "n_ends between 1 and n_words / 4"),
-    "length": (None, "n_words >= 60"),
 }
 
 
@@ -36,7 +38,8 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """Append n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and what the rules read."""
     t = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn("_w", words(F.col(text))).withColumn("_l", F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    out = out.withColumn("_h", F.expr(f"case when size(_w) > {WINDOW} then transform(sequence(1, size(_w) - {WINDOW - 1}), i -> xxhash64(slice(_w, i, {WINDOW}))) else cast(array() as array<bigint>) end"))
+    after = ", ".join(f"_w[i + {k}]" for k in range(1, WINDOW))
+    out = out.withColumn("_h", F.expr(f"case when size(_w) > {WINDOW} then transform(slice(_w, 1, size(_w) - {WINDOW - 1}), (x, i) -> xxhash64(x, {after})) else cast(array() as array<bigint>) end"))
     # A text whose windows all differ is done; the others sort their windows and look at neighbours.
     out = out.withColumn("_s", F.expr("case when size(array_distinct(_h)) < size(_h) then sort_array(transform(_h, (h, i) -> struct(h as h, i as i))) end"))
     out = out.withColumn("_p", F.expr("case when _s is null then cast(array() as array<int>) else sort_array(transform(filter(_s, (x, k) -> (k > 0 and get(_s, k - 1).h = x.h) or get(_s, k + 1).h <=> x.h), x -> x.i)) end"))
@@ -50,6 +53,9 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_l").cast("long").alias("n_lines"),
         F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.regexp_count(t, F.lit(r"[.?!]")).cast("long").alias("n_ends"),
+        F.regexp_count(t, F.lit(r"[?!]")).cast("long").alias("n_marks"),
+        F.regexp_count(t, F.lit(r"\p{L}")).cast("long").alias("n_letters"),
+        F.size(F.filter("_w", lambda w: w.rlike(r"[#*$%&|<>]"))).cast("long").alias("n_symbol_words"),
     )
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
@@ -59,26 +65,23 @@ def votes() -> Column:
     return F.concat(*(F.expr(f"case when {bad or 'false'} then '-' when {good or 'false'} then '+' else '0' end") for bad, good in RULES.values()))
 
 
-#: The start of EM: how often a rule votes '-' or '+' on good and on bad texts. It fixes which class is the good one.
-START = {"good": {"-": 0.01, "+": 0.7}, "bad": {"-": 0.3, "+": 0.4}}
-
-
-#: EM keeps to what a rule means: it is against at most a fiftieth of the good texts and a tenth of the bad
-#: ones at least, and what does not speak against a text moves the log odds by MILD at most.
-MILD = 0.15
+#: What is believed of a rule before any text is seen, as rates of its votes on good and on bad texts, and with the weight of how
+#: many texts. It says which class is the good one, and nothing else is held fixed.
+PRIOR = {"good": {"-": 0.01, "+": 0.7}, "bad": {"-": 0.3, "+": 0.4}}
+PRIOR_TEXTS, PRIOR_SHARE = 20, 0.9
 
 
-def fit_label_model(patterns: dict[str, int], rounds: int = 60) -> tuple[float, list[dict[str, float]]]:
+def fit_label_model(patterns: dict[str, int], rounds: int = 200) -> tuple[float, list[dict[str, float]]]:
     """EM over counts of vote patterns (Dawid and Skene): the share of good texts, and for each rule
     the log odds that each of its votes, and its abstaining, give for a good text.
 
-    A rule's vote against never counts in favour, nor the other way round.
+    A rule that fires where others do earns weight; one that fires alone among texts that all others take for good loses it.
     """
-    rates = {c: [dict(START[c]) for _ in RULES] for c in START}
-    share, total = 0.7, sum(patterns.values())
+    rates = {c: [dict(PRIOR[c]) for _ in RULES] for c in PRIOR}
+    share, total = PRIOR_SHARE, sum(patterns.values())
     for _ in range(rounds if total else 0):
         weights = log_odds(rates)
-        seen = {c: [dict.fromkeys("-+", 0.0) for _ in RULES] for c in START}
+        seen = {c: [dict.fromkeys("-+", 0.0) for _ in RULES] for c in PRIOR}
         good = 0.0
         for pattern, n in patterns.items():
             p = posterior(pattern, share, weights)
@@ -87,19 +90,14 @@ def fit_label_model(patterns: dict[str, int], rounds: int = 60) -> tuple[float,
                 if v != "0":
                     seen["good"][j][v] += n * p
                     seen["bad"][j][v] += n * (1 - p)
-        share = min(0.98, max(0.02, good / total))
-        for c in START:  # the start counts as 20 more texts
-            n = good if c == "good" else total - good
-            low, high = (0.001, 0.02) if c == "good" else (0.1, 0.9)
-            rates[c] = [{v: (x[v] + 20 * START[c][v]) / (n + 20) for v in "-+"} for x in seen[c]]
-            rates[c] = [{"-": min(high, max(low, r["-"])), "+": min(r["+"], 0.95 - high * (c == "good"))} for r in rates[c]]
-            rates[c] = [r | {"+": min(r["+"], 0.98 - r["-"])} for r in rates[c]]
+        share = (good + PRIOR_TEXTS * PRIOR_SHARE) / (total + PRIOR_TEXTS)
+        for c, n in (("good", good), ("bad", total - good)):
+            rates[c] = [{v: (x[v] + PRIOR_TEXTS * PRIOR[c][v]) / (n + PRIOR_TEXTS) for v in "-+"} for x in seen[c]]
     return share, log_odds(rates)
 
 
 def log_odds(rates: dict[str, list[dict[str, float]]]) -> list[dict[str, float]]:
-    odds = [{"-": math.log(g["-"] / b["-"]), "+": math.log(g["+"] / b["+"]), "0": math.log((1 - g["-"] - g["+"]) / (1 - b["-"] - b["+"]))} for g, b in zip(rates["good"], rates["bad"])]
-    return [{"-": min(0.0, o["-"]), "+": min(MILD, max(0.0, o["+"])), "0": min(MILD, max(-MILD, o["0"]))} for o in odds]
+    return [{"-": math.log(g["-"] / b["-"]), "+": math.log(g["+"] / b["+"]), "0": math.log((1 - g["-"] - g["+"]) / (1 - b["-"] - b["+"]))} for g, b in zip(rates["good"], rates["bad"])]
 
 
 def posterior(pattern: str, share: float, weights: list[dict[str, float]]) -> float:
