@@ -34,10 +34,15 @@ def bench_words(text: Column) -> Column:
     return F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def _fingerprints(w: str, n: str) -> str:
-    """SQL of the packed fingerprints of words w, n of them; none below WINDOW words."""
-    grams = f"transform(sequence(1, {n} - {K - 1}), i -> (xxhash64(slice({w}, i, {K})) & ~{PLACE}L) | i)"
-    return f"case when {n} >= {WINDOW} then array_distinct(transform(sequence(1, {n} - {WINDOW - 1}), j -> array_min(slice(_g, j, {WINDOW - K + 1})))) else cast(array() as array<bigint>) end", grams
+def _fingerprints(w: str, n: str) -> tuple[str, str]:
+    """SQL of the packed fingerprints of words w, n of them (none below WINDOW words), and of their grams, which these call _g.
+
+    Elements are named one by one: slices inside the lambdas would copy each word K times.
+    """
+    after = ", ".join(f"{w}[i + {k}]" for k in range(1, K))
+    grams = f"transform(slice({w}, 1, {n} - {K - 1}), (x, i) -> (xxhash64(x, {after}) & ~{PLACE}L) | (i + 1))"
+    next_ = ", ".join(f"_g[j + {k}]" for k in range(1, WINDOW - K + 1))
+    return f"case when {n} >= {WINDOW} then array_distinct(transform(slice(_g, 1, {n} - {WINDOW - 1}), (x, j) -> least(x, {next_}))) else cast(array() as array<bigint>) end", grams
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, one_in: int = 20, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
