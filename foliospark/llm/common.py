@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.sizes import input_bytes, spread
+
 #: The ASCII white space of the word rules: blank, \t, \n, \v, \f, \r.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -50,20 +52,13 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 #: Bytes of input (as its sources count them) for each shuffled piece of work that is held in memory at once.
 PIECE_BYTES = 8 << 20
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables that df reads, by the optimizer's statistics of its leaves; no job runs. Leaves of unknown size count as none."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(n for n in sizes if n < 1 << 60)
-
-
 def pieces(df: DataFrame, least: int = 1) -> int:
     """How many pieces to deal df to: by its bytes, and at least `least` for each shuffle partition."""
     return max(least * shuffle_width(df.sparkSession), -(-input_bytes(df) // PIECE_BYTES))
