@@ -6,11 +6,14 @@ twin beside it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 #: Inside of a character class: all Unicode white space, with the separators U+001C to U+001F.
 WS = r"\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD = r"(?<![\p{L}\p{N}_])[a-zA-Z]{2,}(?![\p{L}\p{N}_])"
+#: Roman numerals, list markers, the corpus's tags and what a marker looks like.
 ROMAN = r"(?=[MDCLXVI])M{0,4}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})\.?"
 BULLETS = r"[\p{Nd}•◦∙·‣⁃-]"
 LIST_MARKER = rf"({BULLETS}|[a-zA-Z]\)|[a-zA-Z]\.|{ROMAN})"
@@ -44,6 +47,38 @@ def is_roman(c: Column) -> Column:
     return strip(c).rlike(rf"(?i)\A{ROMAN}\z")
 
 
+def greedy_ends(sizes: str, cap: int, alone: bool = False) -> Column:
+    """Greedy groups of neighbours whose sizes sum to at most cap: the 1-based places where groups end, as an array.
+
+    sizes: name of a column of array<bigint>. An element over the cap is a group of its own if others stand before it in its group;
+    alone: then it ends its group, too; else the next element does. The fold runs over runs of elements, and its state holds
+    only the ends of one run, as it is copied with every step.
+    """
+    full, more = f"t.n + x > {cap} and t.o = 1", "struct(concat(t.e, t.i, ',') as e, x as n, 1 as o, t.i + 1 as i)"
+    if alone:
+        more = f"if(x > {cap}, struct(concat(t.e, t.i, ',', t.i + 1, ',') as e, 0L as n, 0 as o, t.i + 1 as i), {more})"
+    step = f"if({full}, {more}, struct(t.e as e, t.n + x as n, 1 as o, t.i + 1 as i))"
+    run = f"aggregate(slice({sizes}, k * 512 + 1, 512), struct('' as e, s.n as n, s.o as o, k * 512 as i), (t, x) -> {step}, t -> struct(concat(s.e, t.e) as e, t.n as n, t.o as o))"
+    last = f"if(s.o = 1, concat(s.e, size({sizes})), s.e)"
+    return F.expr(f"transform(filter(split(aggregate(sequence(0, greatest(size({sizes}) - 1, 0) div 512), struct('' as e, 0L as n, 0 as o), (s, k) -> {run}, s -> {last}), ','), e -> e <> ''), e -> int(e))")
+
+
+def dice(*key: Column | str, salt: str) -> Column:
+    """32 hexadecimal digits that depend on the key and the salt alone: four draws, of eight digits each."""
+    return F.md5(F.concat_ws(":", F.lit(salt), *(F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in key)))
+
+
+def roll(dice_: Column, k: int, n: Column | int) -> Column:
+    """A whole number from 0 to n - 1, of the k-th draw of dice."""
+    return F.floor(F.conv(F.substring(dice_, 8 * k + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) * n).cast("int")
+
+
+def hits(dice_: Column, k: int, p: float) -> Column:
+    """True with probability p, by the k-th draw of dice: its digits are compared as text."""
+    least = math.ceil(p * 2**32)
+    return F.lit(True) if least >= 2**32 else F.substring(dice_, 8 * k + 1, 8) < F.lit(f"{least:08x}")
+
+
 def draw(*key: Column | str, salt: str) -> Column:
     """A number in [0, 1) that depends on the key and the salt alone, so neither on partitions nor on retries."""
     parts = [F.lit(salt), *(F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in key)]

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import MARKERS, TAGS, draw, squeeze, token_length, words
+from ..functions.text import MARKERS, TAGS, dice, draw, greedy_ends, hits, roll, squeeze, token_length, words
 
 ARTICLE, SECTION, PARAGRAPH, _ = TAGS
 #: What a word may be prefixed with (LF FF VT BEL CR TAB BS), and the kinds of noise.
 SPECIAL = (10, 12, 11, 7, 13, 9, 8)
 KINDS = ("remove", "add", "swap", "special")
+#: Fixed value: the prompt of a training pair.
 PROMPT = "Correct the spelling mistakes and find the book sections in the following sentences without changing content or add any more sentences."
 
 
@@ -48,53 +51,42 @@ def split_at_characters(docs: DataFrame, key: str, n: int, text: str = "text") -
     return out.select(key, F.col("chunk").cast("long").alias("chunk"), F.substring(F.col(text), begin + 1, end - begin).alias("chunk_text"))
 
 
-def pack_words(text: Column, cap: int = 490) -> Column:
-    """An array of samples: words joined by blanks as long as their token lengths sum to at most cap.
+def samples(docs: DataFrame, keys: list[str], text: str = "text", cap: int = 490, length: Callable[[Column], Column] = token_length) -> DataFrame:
+    """keys, seq (from 0) and sample: words joined by blanks as long as their token lengths sum to at most cap.
 
-    A fold inside the row: a word over the cap is a sample of its own. Sums restart in every text.
+    A word over the cap is a sample of its own; sums restart in every text. length: the token length of a word, a stand-in unless
+    a tokenizer's own is given.
     """
-    empty = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("now"), F.lit(0).cast("long").alias("n"))
-
-    def step(a: Column, w: Column) -> Column:
-        size = token_length(w)
-        full = a["n"] + size > cap
-        return F.struct(
-            F.when(full & (F.size(a["now"]) > 0), F.array_append(a["done"], a["now"])).otherwise(a["done"]).alias("done"),
-            F.when(full, F.array(w)).otherwise(F.array_append(a["now"], w)).alias("now"),
-            F.when(full, size).otherwise(a["n"] + size).alias("n"),
-        )
-
-    out = F.aggregate(words(text), empty, step, lambda a: F.when(F.size(a["now"]) > 0, F.array_append(a["done"], a["now"])).otherwise(a["done"]))
-    return F.transform(out, lambda s: F.array_join(s, " "))
-
+    out = docs.select(*keys, words(F.coalesce(F.col(text), F.lit(""))).alias("_w")).withColumn("_z", F.transform("_w", lambda w: length(w).cast("long")))
+    out = out.select(*keys, "_w", greedy_ends("_z", cap).alias("_e"))
+    # The samples are cut in the row, so that no row carries all words once for each sample.
+    out = out.select(*keys, F.posexplode(F.expr("transform(_e, (e, i) -> array_join(slice(_w, if(i = 0, 0, _e[i - 1]) + 1, e - if(i = 0, 0, _e[i - 1])), ' '))")).alias("seq", "sample"))
+    return out.withColumn("seq", F.col("seq").cast("long"))
 
-def sample_groups(text: Column, cap: int = 490) -> Column:
-    """The same fold by place: an array of (first word, last word), 1-based, which copies no word while it runs."""
-    empty = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("done"), F.lit(1).alias("a"), F.lit(0).alias("b"), F.lit(0).cast("long").alias("n"))
 
-    def step(s: Column, w: Column) -> Column:
-        size = token_length(w)
-        full = s["n"] + size > cap
-        return F.struct(
-            F.when(full & (s["b"] >= s["a"]), F.array_append(s["done"], F.struct(s["a"].alias("a"), s["b"].alias("b")))).otherwise(s["done"]).alias("done"),
-            F.when(full, s["b"] + 1).otherwise(s["a"]).alias("a"),
-            (s["b"] + 1).alias("b"),
-            F.when(full, size).otherwise(s["n"] + size).alias("n"),
-        )
+def quota(samples_: DataFrame, chunk: str, order: list[str], total: int, chunks: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """At most ceil(total / chunks) samples of each chunk, the first in order, and of these the first `total` in the order of chunks;
+    by: the columns of which every value has its own total (a split of the dataset, say)."""
+    first = Window.partitionBy(*by, chunk).orderBy(*order)
+    out = samples_.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= -(-total // chunks))
+    if not by:
+        return out.orderBy(chunk, *order).limit(total).drop("_k")
+    return out.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(chunk, *order))).where(F.col("_k") <= total).drop("_k")
 
-    return F.aggregate(words(text), empty, step, lambda s: F.when(s["b"] >= s["a"], F.array_append(s["done"], F.struct(s["a"].alias("a"), s["b"].alias("b")))).otherwise(s["done"]))
 
+def offsets(rows: DataFrame, group: str, order: str, size: Column, pieces: int = 64) -> DataFrame:
+    """rows with start: the sum of size over the rows of the group that come before, by a numeric order without ties.
 
-def samples(docs: DataFrame, keys: list[str], text: str = "text", cap: int = 490) -> DataFrame:
-    """keys, seq (from 0) and sample."""
-    out = docs.select(*keys, words(F.col(text)).alias("_w"), F.posexplode(sample_groups(F.col(text), cap)).alias("seq", "_g"))
-    return out.select(*keys, F.col("seq").cast("long").alias("seq"), F.array_join(F.slice("_w", F.col("_g.a"), F.col("_g.b") - F.col("_g.a") + 1), " ").alias("sample"))
-
-
-def quota(samples_: DataFrame, chunk: str, total: int, chunks: int) -> DataFrame:
-    """At most ceil(total / chunks) samples of each chunk, and of these the first `total` in order of chunk and seq."""
-    each = -(-total // chunks)
-    return samples_.where(F.col("seq") < each).orderBy(chunk, "seq").limit(total)
+    Sums are taken over `pieces` ranges of order first and inside them then, so no group is sorted in one task.
+    """
+    ends = rows.agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+    at = rows.withColumn("_size", size.cast("long")).join(F.broadcast(ends), how="cross")  # one row
+    at = at.withColumn("_piece", F.coalesce(F.expr(f"width_bucket(double(`{order}`), double(_low), double(_high) + 1, {pieces})"), F.lit(0)))
+    sums = at.groupBy(group, "_piece").agg(F.sum("_size").alias("_sum"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before(Window.partitionBy(group).orderBy("_piece"))), F.lit(0))).drop("_sum")
+    inner = F.coalesce(F.sum("_size").over(before(Window.partitionBy(group, "_piece").orderBy(order))), F.lit(0))
+    return at.join(sums, [group, "_piece"]).withColumn("start", F.col("_before") + inner).select(*rows.columns, "start")
 
 
 def drop_fragment(text: Column) -> Column:
@@ -106,46 +98,61 @@ def remove_markers(text: Column) -> Column:
     return squeeze(F.regexp_replace(text, MARKERS, " "))
 
 
-def pick(n, *key: Column, salt: str) -> Column:
-    return F.floor(draw(*key, salt=salt) * n).cast("int")
+def noise_special(w: Column, *key: Column) -> Column:
+    return special(w, dice(*key, salt="noise"))
+
+
+def noise_remove(w: Column, *key: Column) -> Column:
+    return remove(w, dice(*key, salt="noise"))
+
+
+def noise_add(w: Column, *key: Column) -> Column:
+    return add(w, dice(*key, salt="noise"))
+
+
+def noise_swap(w: Column, *key: Column) -> Column:
+    return swap(w, dice(*key, salt="noise"))
+
+
+# The draws of a word's dice: whether it is changed, how, where, and a letter or a second place.
+APPLY, KIND, PLACE, OTHER = range(4)
 
 
-def noise_special(w: Column, *key: Column, salt: str = "special") -> Column:
-    return F.concat(F.element_at(F.array(*(F.lit(chr(c)) for c in SPECIAL)), pick(len(SPECIAL), *key, salt=salt) + 1), w)
+def special(w: Column, d: Column) -> Column:
+    return F.concat(F.element_at(F.array(*(F.lit(chr(c)) for c in SPECIAL)), roll(d, PLACE, len(SPECIAL)) + 1), w)
 
 
-def noise_remove(w: Column, *key: Column, salt: str = "remove") -> Column:
-    i = pick(F.length(w), *key, salt=salt)
+def remove(w: Column, d: Column) -> Column:
+    i = roll(d, PLACE, F.length(w))
     return F.when(F.length(w) > 1, F.concat(F.substring(w, F.lit(1), i), F.substring(w, i + 2, F.length(w)))).otherwise(w)
 
 
-def noise_add(w: Column, *key: Column, salt: str = "add") -> Column:
-    i = pick(F.length(w) + 1, *key, salt=salt)
-    letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), pick(26, *key, salt=salt + "-letter") + 1, F.lit(1))
-    return F.concat(F.substring(w, F.lit(1), i), letter, F.substring(w, i + 1, F.length(w)))
+def add(w: Column, d: Column) -> Column:
+    i = roll(d, PLACE, F.length(w) + 1)
+    return F.concat(F.substring(w, F.lit(1), i), F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), roll(d, OTHER, 26) + 1, F.lit(1)), F.substring(w, i + 1, F.length(w)))
 
 
-def noise_swap(w: Column, *key: Column, salt: str = "swap") -> Column:
+def swap(w: Column, d: Column) -> Column:
     """Two different places change letters; the second is drawn among the others, so no draw is thrown away."""
     n = F.length(w)
-    i = pick(n, *key, salt=salt)
-    j = F.pmod(i + 1 + pick(n - 1, *key, salt=salt + "-other"), n)
+    i = roll(d, PLACE, n)
+    j = F.pmod(i + 1 + roll(d, OTHER, n - 1), n)
     a, b = F.least(i, j), F.greatest(i, j)
     at = lambda k: F.substring(w, k + 1, F.lit(1))
     return F.when(n > 1, F.concat(F.substring(w, F.lit(1), a), at(b), F.substring(w, a + 2, b - a - 1), at(a), F.substring(w, b + 2, n))).otherwise(w)
 
 
-def introduce(w: Column, kind: Column, *key: Column) -> Column:
-    return F.when(kind == "remove", noise_remove(w, *key)).when(kind == "add", noise_add(w, *key)).when(kind == "swap", noise_swap(w, *key)).when(kind == "special", noise_special(w, *key)).otherwise(w)
+def introduce(w: Column, d: Column) -> Column:
+    """w changed by the kind of noise that its dice choose."""
+    kind = roll(d, KIND, len(KINDS))
+    return F.when(kind == 0, remove(w, d)).when(kind == 1, add(w, d)).when(kind == 2, swap(w, d)).otherwise(special(w, d))
 
 
 def noisy(text: Column, key: Column, p: float = 0.1) -> Column:
-    """Each word, with probability p, changed by one kind of noise; words joined by single blanks."""
-    kinds = F.array(*(F.lit(k) for k in KINDS))
-    def one(w: Column, i: Column) -> Column:
-        kind = F.element_at(kinds, pick(len(KINDS), key, i, salt="kind") + 1)
-        return F.when(draw(key, i, salt="apply") < p, introduce(w, kind, key, i)).otherwise(w)
-    return F.array_join(F.transform(words(text), one), " ")
+    """Each word, with probability p, changed by one kind of noise; words joined by single blanks. One digest a word
+    serves all its draws."""
+    diced = F.transform(words(text), lambda w, i: F.struct(w.alias("w"), dice(key, i, salt="noise").alias("d")))
+    return F.array_join(F.transform(diced, lambda x: F.when(hits(x["d"], APPLY, p), introduce(x["w"], x["d"])).otherwise(x["w"])), " ")
 
 
 def noise_pairs(samples_: DataFrame, key: str, text: str, p: float = 0.1) -> DataFrame:

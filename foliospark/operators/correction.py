@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions.text import TAGS, squeeze, token_length, words
+from ..functions.text import TAGS, greedy_ends, squeeze, token_length, words
 
+#: Fixed value: the correction prompt, before and after a batch.
 PROMPT = ("<|system|>\nCorrect the spelling mistakes and find the book sections in the following sentences. Do not change content or do not add any extra sentences.<|endoftext|>\n<|user|>\n", "<|endoftext|>\n<|assistant|>\n")
-RESULT = "batch_index long, original_batch string, processed_result string, comparison struct<fuzzy_match_score:struct<match_count:long,matched_chars:long,last_match_ratio:int>,cosine_similarity:double>, status string, error string"
 
 
 class Corrector(Protocol):
@@ -21,45 +21,24 @@ class Corrector(Protocol):
     def __call__(self, prompts: list[str]) -> list[str | None]: ...
 
 
-def line_length(line: Column) -> Column:
-    """Token length of a line and its line break, for the stand-in tokenizer."""
-    return F.aggregate(words(line), F.lit(1).cast("long"), lambda a, w: a + token_length(w))
+def line_length(line: Column, length: Callable[[Column], Column] = token_length) -> Column:
+    """Token length of a line and its line break; length: that of a word, a stand-in unless a tokenizer's own is given."""
+    return F.aggregate(words(line), F.lit(1).cast("long"), lambda a, w: a + length(w).cast("long"))
 
 
-def batch_groups(lines: Column, cap: int = 1024) -> Column:
-    """lines: an ordered array of (line_no, size, line). An array of (first, last) places, 1-based.
-
-    A line that doesn't fit a batch with lines in it ends that batch; alone over the cap it is a batch of
-    its own. One that is over the cap and meets an empty batch stays in it until the next line comes.
-    """
-    empty = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("done"), F.lit(1).alias("a"), F.lit(0).alias("b"), F.lit(0).cast("long").alias("n"))
-    span = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-
-    def step(s: Column, x: Column) -> Column:
-        full = (s["n"] + x["size"] > cap) & (s["b"] >= s["a"])
-        alone = full & (x["size"] > cap)
-        here = s["b"] + 1
-        closed = F.array_append(s["done"], span(s["a"], s["b"]))
-        return F.struct(
-            F.when(alone, F.array_append(closed, span(here, here))).when(full, closed).otherwise(s["done"]).alias("done"),
-            F.when(alone, here + 1).when(full, here).otherwise(s["a"]).alias("a"),
-            here.alias("b"),
-            F.when(alone, F.lit(0).cast("long")).when(full, x["size"]).otherwise(s["n"] + x["size"]).alias("n"),
-        )
-
-    return F.aggregate(lines, empty, step, lambda s: F.when(s["b"] >= s["a"], F.array_append(s["done"], span(s["a"], s["b"]))).otherwise(s["done"]))
-
-
-def pack_lines(lines: DataFrame, keys: list[str], cap: int = 1024) -> DataFrame:
+def pack_lines(lines: DataFrame, keys: list[str], cap: int = 1024, length: Callable[[Column], Column] = token_length) -> DataFrame:
     """keys, batch_index and original_batch, its lines each ended by a line break; empty lines are left out.
 
-    A book's lines are gathered in one row, as its batches depend on all before them.
+    A line that doesn't fit a batch with lines in it ends that batch; alone over the cap it is a batch of its own. One that is over
+    the cap and meets an empty batch stays in it until the next line comes. A book's lines are gathered in one row, as its batches
+    depend on all before them.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col("line_no"), line_length(F.col("line")).alias("size"), F.col("line"))))
+    rows = F.array_sort(F.collect_list(F.struct(F.col("line_no"), line_length(F.col("line"), length).alias("size"), F.col("line"))))
     out = lines.where(F.col("line") != "").groupBy(*keys).agg(rows.alias("_r"))
-    out = out.select(*keys, "_r", F.posexplode(batch_groups(F.col("_r"), cap)).alias("batch_index", "_g"))
-    part = F.slice("_r", F.col("_g.a"), F.col("_g.b") - F.col("_g.a") + 1)
-    return out.select(*keys, F.col("batch_index").cast("long").alias("batch_index"), F.concat(F.array_join(F.transform(part, lambda x: x["line"]), "\n"), F.lit("\n")).alias("original_batch"))
+    out = out.select(*keys, F.col("_r.line").alias("_l"), F.col("_r.size").alias("_z"))
+    out = out.select(*keys, "_l", greedy_ends("_z", cap, alone=True).alias("_e"))
+    batch = F.expr("transform(_e, (e, i) -> concat(array_join(slice(_l, if(i = 0, 0, _e[i - 1]) + 1, e - if(i = 0, 0, _e[i - 1])), '\n'), '\n'))")
+    return out.select(*keys, F.posexplode(batch).alias("batch_index", "original_batch")).withColumn("batch_index", F.col("batch_index").cast("long"))
 
 
 def prompt(batch: Column) -> Column:
@@ -117,46 +96,70 @@ def normalise(text: Column, markers: tuple[str, ...] = TAGS) -> Column:
     return squeeze(F.regexp_replace(text, r"(?<=\.)([A-Z])", " $1"))
 
 
-@F.pandas_udf(IntegerType())
-def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """round(100 * 2M / T) of the lower-cased words, M by the standard library's sequence matcher."""
+@F.pandas_udf(StructType([StructField(n, IntegerType()) for n in ("fails", "ratio", "last")]))
+def first_failure(a: pd.Series, b: pd.Series, threshold: pd.Series) -> pd.DataFrame:
+    """Of lists of word pairs: the place of the first whose ratio, round(100 * 2M / T) of the lower-cased words with M by the
+    standard library's sequence matcher, isn't over the threshold, and its ratio; null where none is. last: the last one's ratio."""
     from difflib import SequenceMatcher
 
-    return pd.Series([int(round(100 * SequenceMatcher(None, x.lower(), y.lower()).ratio())) for x, y in zip(a, b)], dtype="int32")
+    known: dict[tuple[str, str], int] = {}
 
+    def ratio(x: str, y: str) -> int:
+        if (x, y) not in known:
+            known[x, y] = int(round(100 * SequenceMatcher(None, x.lower(), y.lower()).ratio()))
+        return known[x, y]
 
-def word_pairs(pairs: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
-    at = pairs.select(*keys, words(F.col(a)).alias("_a"), words(F.col(b)).alias("_b"))
-    n = F.least(F.size("_a"), F.size("_b"))
-    zipped = F.arrays_zip(F.slice("_a", F.lit(1), n), F.slice("_b", F.lit(1), n))
-    return at.select(*keys, F.posexplode(zipped).alias("i", "w")).select(*keys, "i", F.col("w").getField("0").alias("wa"), F.col("w").getField("1").alias("wb"))
+    rows = []
+    for xs, ys, least in zip(a, b, threshold):
+        found = next(((k, r) for k, (x, y) in enumerate(zip(xs, ys)) if (r := ratio(x, y)) <= least), (None, None))
+        rows.append((*found, ratio(xs[-1], ys[-1]) if len(xs) else None))
+    return pd.DataFrame(rows, columns=["fails", "ratio", "last"]).astype("Int32")
 
 
-def prefix_score(pairs: DataFrame, keys: list[str], a: str, b: str, threshold: int = 90, fuzzy: bool = True) -> DataFrame:
-    """keys, match_count, matched_chars and last_match_ratio: words are compared in turn while their ratio is over threshold.
+def prefix_scored(pairs: DataFrame, a: Column, b: Column, threshold: int = 90, fuzzy: bool = True) -> DataFrame:
+    """pairs with match_count, matched_chars and last_match_ratio: words are compared in turn while their ratio is over threshold.
 
-    Only pairs of different words reach Python. fuzzy=False: 100 for equal words, 0 for others.
+    All is done inside the row; only pairs of different words reach Python, and none after the first failure is scored but the last.
+    fuzzy=False: 100 for equal words, 0 for others.
     """
-    at = word_pairs(pairs, keys, a, b)
-    same = F.lower("wa") == F.lower("wb")
+    some = lambda c: words(F.coalesce(c, F.lit("")))
+    at = pairs.select("*", some(a).alias("_a"), some(b).alias("_b")).withColumn("_n", F.least(F.size("_a"), F.size("_b")))
+    at = at.withColumn("_d", F.expr("filter(transform(slice(_a, 1, _n), (x, i) -> struct(i, x, _b[i] as y)), p -> p.x <> p.y and lower(p.x) <> lower(p.y))"))
     if fuzzy:
-        differ = at.where(~same)
-        at = at.where(same).withColumn("ratio", F.lit(100)).unionByName(differ.withColumn("ratio", fuzzy_ratio("wa", "wb")))
+        at = at.withColumn("_f", first_failure(F.col("_d.x"), F.col("_d.y"), F.lit(threshold)))
     else:
-        at = at.withColumn("ratio", F.when(same, 100).otherwise(0))
-    # A pair's ratios in order, gathered once; the first failure ends the match.
-    rows = at.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "ratio", F.length("wa").alias("n")))).alias("_r"))
-    rows = rows.withColumn("_stop", F.array_position(F.transform("_r", lambda x: x["ratio"] <= threshold), F.lit(True)).cast("int"))
-    rows = rows.withColumn("_m", F.when(F.col("_stop") == 0, F.col("_r")).otherwise(F.slice("_r", F.lit(1), F.col("_stop") - 1)))
-    chars = F.aggregate("_m", F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    last = F.element_at("_r", F.when(F.col("_stop") == 0, F.lit(-1)).otherwise(F.col("_stop")))["ratio"]
-    sums = rows.select(*keys, F.size("_m").cast("long").alias("match_count"), chars.alias("matched_chars"), last.cast("int").alias("last_match_ratio"))
-    zero = lambda c, t: F.coalesce(c, F.lit(0).cast(t)).alias(c)
-    return pairs.select(*keys).join(sums, keys, "left").select(*keys, zero("match_count", "long"), zero("matched_chars", "long"), zero("last_match_ratio", "int"))
-
-
-def mean_pool(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """key and the mean vector of its rows, by place; partial sums are kept for each key and place."""
+        some_ = F.size("_d") > 0
+        at = at.withColumn("_f", F.struct(F.when(some_, 0).alias("fails"), F.when(some_, 0).alias("ratio"), F.when(some_, 0).alias("last")))
+    stop = F.col("_f.fails").isNotNull()
+    at = at.withColumn("match_count", F.when(stop, F.get("_d", F.col("_f.fails"))["i"]).otherwise(F.col("_n")).cast("long"))
+    ends_unlike = F.try_element_at("_d", F.lit(-1))["i"] == F.col("_n") - 1
+    last = F.when(F.col("_n") == 0, 0).when(stop, F.col("_f.ratio")).when(ends_unlike, F.col("_f.last")).otherwise(100)
+    chars = F.length(F.array_join(F.slice("_a", F.lit(1), F.col("match_count").cast("int")), "")).cast("long")
+    return at.withColumns({"matched_chars": chars, "last_match_ratio": last.cast("int")}).drop("_a", "_b", "_n", "_d", "_f")
+
+
+def prefix_score(pairs: DataFrame, keys: list[str], a: str, b: str, threshold: int = 90, fuzzy: bool = True) -> DataFrame:
+    return prefix_scored(pairs.select(*keys, a, b), F.col(a), F.col(b), threshold, fuzzy).drop(a, b)
+
+
+def compare(done: DataFrame, embed: Callable[[Column], Column], original: str = "original_batch", result: str = "processed_result", fuzzy: bool = True) -> DataFrame:
+    """done with comparison: (fuzzy_match_score: (match_count, matched_chars, last_match_ratio), cosine_similarity) of the texts as they
+    are compared (see normalise; markers are taken out of the result alone); null where there is no result.
+
+    embed: the vector of a text.
+    """
+    left, right = normalise(F.col(original), ()), normalise(F.col(result))
+    at = prefix_scored(done.select(F.struct("*").alias("_in"), left.alias("_x"), right.alias("_y")), F.col("_x"), F.col("_y"), fuzzy=fuzzy)
+    score = F.struct("match_count", "matched_chars", "last_match_ratio").alias("fuzzy_match_score")
+    both = F.when(F.col(f"_in.{result}").isNotNull(), F.struct(score, cosine(embed(F.col("_x")), embed(F.col("_y"))).alias("cosine_similarity")))
+    return at.select("_in.*", both.alias("comparison"))
+
+
+def mean_pool(rows: DataFrame, key: str, vector: str, order: str | None = None, most: int = 512) -> DataFrame:
+    """key and the mean vector of its rows, by place; partial sums are kept for each key and place. order: if given, of
+    the first `most` rows in that order (a model's tokens, say)."""
+    if order:
+        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("_k") <= most)
     at = rows.select(key, F.posexplode(vector).alias("i", "x")).groupBy(key, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     return at.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias(vector))
 
@@ -171,7 +174,8 @@ def cosine(a: Column, b: Column) -> Column:
 def result_records(done: DataFrame, *keep: str) -> DataFrame:
     """Status and error of processed batches: a null result has failed; an error from the call itself is a future_error."""
     status = F.when(F.col("error").isNotNull(), "future_error").when(F.col("processed_result").isNull(), "processing_failed").otherwise("success")
-    return done.select(*keep, "batch_index", "original_batch", "processed_result", status.alias("status"), "error")
+    more = ["comparison"] if "comparison" in done.columns else []  # see compare
+    return done.select(*keep, "batch_index", "original_batch", "processed_result", *more, status.alias("status"), "error")
 
 
 def outcome_counts(results: DataFrame, *keys: str) -> DataFrame:

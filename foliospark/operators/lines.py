@@ -110,3 +110,9 @@ def clean_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Classify, filter, glue, clean and merge, in that order."""
     out = concat_paragraphs(filter_unwanted(classify_lines(lines, keys)), keys)
     return merge_bullets(drop_blank(out), keys)
+
+
+def cleaned_book(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame | None:
+    """clean_lines of pages, or None where there is no text at all to clean; lines of books without one are left out."""
+    rows = pages.where(F.length(strip(F.coalesce(F.col(text), F.lit("")))) > 0)
+    return None if rows.isEmpty() else clean_lines(split_lines(rows, keys, text), keys)

@@ -24,18 +24,18 @@ def word_counts(pages: DataFrame, keys: list[str], text: str = "text") -> DataFr
 
 
 def valid_word_ratio(pages: DataFrame, dictionary: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """keys, tokens, known and ratio of every page; 0.0 for a page without a token.
+    """keys, tokens, known and ratio of every page (rows that share keys are one page); 0.0 for a page without a token.
 
-    Equal words of a page are counted before they meet the dictionary.
+    A dictionary of up to BROADCAST_WORDS words is fetched once, by an action of its own, and sent to the pages: their tokens
+    meet it where they are, and only two sums of each page are shuffled.
     """
-    counts = word_counts(pages, keys, text).withColumn("word", F.lower("word"))
-    small = dictionary.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    known = dictionary.select("word", F.lit(1).alias("known"))
-    met = counts.join(F.broadcast(known) if small else known, "word", "left")
-    sums = met.groupBy(*keys).agg(F.sum("n").cast("long").alias("tokens"), F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0)).cast("long").alias("known"))
-    out = pages.select(*keys).join(sums, keys, "left")
-    out = out.withColumns({"tokens": F.coalesce("tokens", F.lit(0).cast("long")), "known": F.coalesce("known", F.lit(0).cast("long"))})
-    return out.withColumn("ratio", F.when(F.col("tokens") == 0, F.lit(0.0)).otherwise(F.col("known") / F.col("tokens")))
+    known = dictionary.select("word", F.lit(1).alias("known")).distinct()
+    found = dictionary.select("word").distinct().limit(BROADCAST_WORDS + 1).collect()
+    if len(found) <= BROADCAST_WORDS:
+        known = F.broadcast(dictionary.sparkSession.createDataFrame([(r["word"], 1) for r in found], "word string, known int"))
+    tokens = pages.select(*keys, F.explode_outer(dictionary_tokens(F.col(text))).alias("_t")).withColumn("word", F.lower("_t"))
+    sums = tokens.join(known, "word", "left").groupBy(*keys).agg(F.count("_t").alias("tokens"), F.count("known").alias("known"))
+    return sums.withColumn("ratio", F.when(F.col("tokens") == 0, F.lit(0.0)).otherwise(F.col("known") / F.col("tokens")))
 
 
 def route(text: Column, ratio: Column, min_ratio: float = 0.8, min_chars: int = 10) -> Column:
@@ -43,10 +43,10 @@ def route(text: Column, ratio: Column, min_ratio: float = 0.8, min_chars: int =
     return F.when(F.length(strip(F.coalesce(text, F.lit("")))) <= min_chars, "short").when(ratio < min_ratio, "garbled").otherwise("ok")
 
 
-def page_record(text: Column, recognised: Column | None = None) -> Column:
-    """(text, prob): a recognised text before the page's own, neither as an empty one."""
-    first = F.coalesce(recognised, text, F.lit("")) if recognised is not None else F.coalesce(text, F.lit(""))
-    return F.struct(first.alias("text"), F.lit(0).alias("prob"))
+def page_record(text: Column, route_: Column | None = None, recognised: Column | None = None) -> Column:
+    """(text, prob): the recognised text of a page that isn't 'ok', empty where recognition failed; else the page's own."""
+    own = F.coalesce(text, F.lit(""))
+    return F.struct((own if route_ is None else F.when(route_ == "ok", own).otherwise(F.coalesce(recognised, F.lit("")))).alias("text"), F.lit(0).alias("prob"))
 
 
 def recognise(pages: DataFrame, routed: str, recogniser, text: str = "text") -> DataFrame:

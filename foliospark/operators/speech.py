@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import WS, strip
 
+# The patterns of this module are fixed values: they say what a page number, a paragraph and a part file are.
+
 
 def remove_page_numbers(text: Column) -> Column:
     """Lines that are a number, begin with one or end in one, on the whole text: a number on a line of its

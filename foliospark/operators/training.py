@@ -24,6 +24,13 @@ def training_rows(rows: DataFrame, *keep: str, end: str = "<|endoftext|>") -> Da
     return rows.select(*keep, chat_template(F.col("Prompt"), F.col("Train"), F.col("Target"), end).alias("text")).where(F.length("text") > 0)
 
 
+def required(rows: DataFrame) -> DataFrame:
+    """rows, or an error where there are none: a run must not begin on nothing."""
+    if rows.isEmpty():
+        raise ValueError("no training rows are left")
+    return rows
+
+
 def parse_template(rows: DataFrame, text: str = "text") -> DataFrame:
     """rows with prompt and expected, where the text holds the assistant's tag; expected ends at a second tag."""
     parts = F.split(F.col(text), r"<\|assistant\|>", -1)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
+from ..functions.sizes import spread
 from ..operators import correction as G, corpus as E, lines as L, pages as B, results as H, speech as I, training as R
 
 QUERIES: dict = {}
@@ -28,11 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 # ---- decoration, for both engines
 
 WS = T.WS
-ROMAN = "M{0,4}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})\\.?"
-MARK = rf"([\p{{Nd}}•◦∙·‣⁃-]|[a-zA-Z]\)|[a-zA-Z]\.|{ROMAN})"
+AHEAD = "(?=[MDCLXVI])"  # RE2 has no look-around: what it says is a condition beside the pattern
+ROMAN = T.ROMAN.replace(AHEAD, "")
+MARK = T.LIST_MARKER.replace(AHEAD, "")
 
 
 def s_(x: str) -> str:
@@ -45,7 +51,7 @@ lines as (select book_id, line_no, case (book_id * 31 + line_no) % 13 when 0 the
 
 
 def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = L.split_lines(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), F.coalesce("text", F.lit("")).alias("text")), ["book_id"])
+    out = L.split_lines(documents(spark, sf_dir).select(F.col("doc_id").alias("book_id"), F.coalesce("text", F.lit("")).alias("text")), ["book_id"])
     return out.withColumn("line", F.expr(r"case (book_id * 31 + line_no) % 13 when 0 then concat('  ', line_no, ' ') when 1 then '•' when 2 then 'xiv.' when 3 then '' when 4 then '_____' when 5 then concat('- ', line) when 6 then concat('  ', line, '\t', '  ') else line end"))
 
 
@@ -55,7 +61,7 @@ lines as (select doc_id, line_no, case (doc_id * 7 + line_no) % 6 when 0 then '_
 
 
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = L.split_lines(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["doc_id"])
+    out = L.split_lines(documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["doc_id"])
     return out.withColumn("line", F.expr("case (doc_id * 7 + line_no) % 6 when 0 then concat('_START_SECTION_ ', line) when 1 then '_START_PARAGRAPH_' when 2 then concat(line, ' _NEWLINE_ ', line) when 4 then '_START_ARTICLE_' else line end"))
 
 
@@ -63,6 +69,10 @@ def u_(salt: str, *key: str) -> str:
     return f"(('0x' || substr(md5('{salt}' || {' || '.join(repr(':') + ' || ' + k for k in key)}), 1, 8))::bigint / 4294967296.0::double)"
 
 
+def dice_(place: int, *key: str) -> str:
+    return f"(('0x' || substr(md5('noise' || {' || '.join(repr(':') + ' || ' + k for k in key)}), {8 * place + 1}, 8))::bigint / 4294967296.0::double)"
+
+
 # ---- pages
 
 TOKENS = r"tokens as (select doc_id, unnest(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda x: regexp_full_match(x, '[a-zA-Z]{2,}'))) as word from documents)"
@@ -72,7 +82,7 @@ RATIO = f"{TOKENS}, {DICT}, r as (select doc_id, count(*) as tokens, count(dict.
 
 @query(f"with {TOKENS} select doc_id, word, count(*) as n from tokens group by doc_id, word")
 def word_extract(spark, sf_dir):
-    return B.word_counts(table(spark, sf_dir, "documents"), ["doc_id"])
+    return B.word_counts(documents(spark, sf_dir), ["doc_id"])
 
 
 @query(f"with {DICT} select word from dict")
@@ -82,14 +92,15 @@ def dictionary_build(spark, sf_dir):
 
 @query(f"with {RATIO} select doc_id, cast(tokens as bigint) as tokens, cast(known as bigint) as known, round(ratio, 6) as ratio from ratio")
 def valid_word_ratio(spark, sf_dir):
-    return B.valid_word_ratio(table(spark, sf_dir, "documents"), dictionary_build(spark, sf_dir), ["doc_id"]).withColumn("ratio", F.round("ratio", 6))
+    return B.valid_word_ratio(documents(spark, sf_dir), dictionary_build(spark, sf_dir), ["doc_id"]).withColumn("ratio", F.round("ratio", 6))
 
 
-@query(f"with {RATIO} select doc_id, case when length({s_('coalesce(text, ' + repr('') + ')')}) <= 10 then 'short' when ratio < 0.2 then 'garbled' else 'ok' end as route, coalesce(text, '') as text, 0 as prob from ratio")
+@query(f"with {RATIO} select doc_id, case when length({s_('coalesce(text, ' + repr('') + ')')}) <= 10 then 'short' when ratio < 0.2 then 'garbled' else 'ok' end as route, case when length({s_('coalesce(text, ' + repr('') + ')')}) <= 10 or ratio < 0.2 then '' else coalesce(text, '') end as text, 0 as prob from ratio")
 def page_route(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     out = docs.select("doc_id", "text").join(B.valid_word_ratio(docs, dictionary_build(spark, sf_dir), ["doc_id"]), "doc_id")
-    return out.select("doc_id", B.route(F.col("text"), F.col("ratio"), min_ratio=0.2).alias("route"), B.page_record(F.col("text")).alias("p")).select("doc_id", "route", "p.text", "p.prob")
+    out = out.withColumn("route", B.route(F.col("text"), F.col("ratio"), min_ratio=0.2))  # nothing recognises pages here
+    return out.select("doc_id", "route", B.page_record(F.col("text"), F.col("route"), F.lit(None).cast("string")).alias("p")).select("doc_id", "route", "p.text", "p.prob")
 
 
 # ---- lines
@@ -118,10 +129,9 @@ def line_lengths(spark, sf_dir):
     return book_lines(spark, sf_dir).withColumn("length", F.length("line").cast("long"))
 
 
-@query("select source as book_id, cast(length(string_agg(text, chr(10) order by doc_id)) as bigint) as chars, md5(string_agg(text, chr(10) order by doc_id)) as digest from documents where text is not null group by source")
+@query(f"with {LINES} select book_id, cast(length(string_agg(line, chr(10) order by line_no)) as bigint) as chars, md5(string_agg(line, chr(10) order by line_no)) as digest from lines group by book_id")
 def page_concat(spark, sf_dir):
-    out = L.concat_pages(table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("page_no"), "text"), ["book_id"])
-    return out.select("book_id", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
+    return books(spark, sf_dir).select("book_id", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
 
 
 @query(f"with {LINES}, {CLASSES} select book_id, round(mean, 6) as mean, round(std, 6) as std, round(coalesce(mean * 0.5, 10.0), 6) as threshold from stats")
@@ -205,11 +215,11 @@ def reassemble(spark, sf_dir):
     return E.reassemble(E.remove_sections(tagged_lines(spark, sf_dir), "doc_id"), "doc_id")
 
 
-@query("select lang, md5(string_agg(text || chr(10), '' order by doc_id)) as digest, cast(sum(length(text) + 1) as bigint) as chars from documents where text is not null group by lang")
+@query("select lang, doc_id, cast(coalesce(sum(length(text) + 1) over (partition by lang order by doc_id rows between unbounded preceding and 1 preceding), 0) as bigint) as start, cast(length(text) + 1 as bigint) as chars, md5(text || chr(10)) as digest from documents where text is not null")
 def corpus_concat(spark, sf_dir):
-    rows = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("doc_id", F.concat("text", F.lit("\n")).alias("t")))))
-    out = table(spark, sf_dir, "documents").where("text is not null").groupBy("lang").agg(F.array_join(F.transform(rows, lambda x: x["t"]), "").alias("all"))
-    return out.select("lang", F.md5("all").alias("digest"), F.length("all").cast("long").alias("chars"))
+    """Where each document's text stands in the one text of its language."""
+    rows = documents(spark, sf_dir).where("text is not null").select("lang", "doc_id", (F.length("text") + 1).cast("long").alias("chars"), F.md5(F.concat("text", F.lit("\n"))).alias("digest"))
+    return E.offsets(rows, "lang", "doc_id", F.col("chars"))
 
 
 CHUNKS = "ch0 as (select doc_id, text, length(text) as len, case when 4 > length(text) then greatest(1, length(text) // 100) else 4 end as n from documents), ch1 as (select *, unnest(range(0, n)) as chunk from ch0), chunks as (select doc_id, cast(chunk as bigint) as chunk, substr(text, cast(chunk * len // n + 1 as bigint), cast((chunk + 1) * len // n - chunk * len // n as bigint)) as chunk_text from ch1)"
@@ -217,7 +227,7 @@ CHUNKS = "ch0 as (select doc_id, text, length(text) as len, case when 4 > length
 
 @query(f"with {CHUNKS} select * from chunks")
 def corpus_chunks(spark, sf_dir):
-    return E.split_at_characters(table(spark, sf_dir, "documents"), "doc_id", 4)
+    return E.split_at_characters(documents(spark, sf_dir), "doc_id", 4)
 
 
 def pack_sql(source: str, text: str, keys: str) -> str:
@@ -230,19 +240,29 @@ samples as (select {keys}, seq, string_agg(word, ' ' order by i) as sample from
 
 @query(f"with {pack_sql('documents', 'text', 'doc_id')} select doc_id, cast(seq as bigint) as seq, sample from samples")
 def sample_pack(spark, sf_dir):
-    return E.samples(table(spark, sf_dir, "documents"), ["doc_id"])
+    return E.samples(documents(spark, sf_dir), ["doc_id"])
+
 
+QUOTA = f"with {CHUNKS}, {pack_sql('chunks', 'chunk_text', 'doc_id, chunk')}"
 
-@query(f"with {CHUNKS}, {pack_sql('chunks', 'chunk_text', 'doc_id, chunk')} select doc_id, chunk, cast(seq as bigint) as seq, sample from samples where seq < 3 order by doc_id, chunk, seq limit 500")
+
+@query(f"{QUOTA} select doc_id, chunk, cast(seq as bigint) as seq, sample from (select * from samples qualify row_number() over (partition by chunk order by doc_id, seq) <= 125) order by chunk, doc_id, seq limit 500")
 def sample_quota(spark, sf_dir):
-    chunks = E.split_at_characters(table(spark, sf_dir, "documents"), "doc_id", 4)
-    out = E.samples(chunks, ["doc_id", "chunk"], "chunk_text")
-    return out.where(F.col("seq") < 3).orderBy("doc_id", "chunk", "seq").limit(500)
+    chunks = E.split_at_characters(documents(spark, sf_dir), "doc_id", 4)
+    return E.quota(E.samples(chunks, ["doc_id", "chunk"], "chunk_text"), "chunk", ["doc_id", "seq"], 500, 4)
+
+
+@query(f"{QUOTA}, s as (select lang, samples.* from samples join documents using (doc_id)), q as (select * from s qualify row_number() over (partition by lang, chunk order by doc_id, seq) <= 34) select lang, doc_id, chunk, cast(seq as bigint) as seq, sample from q qualify row_number() over (partition by lang order by chunk, doc_id, seq) <= 133")
+def split_samples(spark, sf_dir):
+    """The quota of every split; languages stand for splits."""
+    docs = documents(spark, sf_dir)
+    chunks = E.split_at_characters(docs, "doc_id", 4).join(docs.select("doc_id", "lang"), "doc_id")
+    return E.quota(E.samples(chunks, ["lang", "doc_id", "chunk"], "chunk_text"), "chunk", ["doc_id", "seq"], 133, 4, by=("lang",))
 
 
 @query(r"select doc_id, regexp_replace(text, '(?s)\A(.*)\. .*\z', '\1.') as text from documents")
 def drop_fragment(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", E.drop_fragment(F.col("text")).alias("text"))
+    return documents(spark, sf_dir).select("doc_id", E.drop_fragment(F.col("text")).alias("text"))
 
 
 UNMARKED = s_(f"regexp_replace(regexp_replace(line, '_[A-Z]+(_[A-Z]+)*_', ' ', 'g'), '[{WS}]+', ' ', 'g')")
@@ -254,16 +274,17 @@ def remove_markers(spark, sf_dir):
 
 
 def noise_sql(kind: str, w: str, k: str) -> str:
-    p = lambda salt, n: f"cast(floor({u_(salt, *k.split(','))} * ({n})) as bigint)"
+    p = lambda place, n: f"cast(floor({dice_(place, *k.split(','))} * ({n})) as bigint)"
     n = f"length({w})"
     if kind == "special":
-        return f"[{', '.join(f'chr({c})' for c in E.SPECIAL)}][{p('special', 7)} + 1] || {w}"
+        return f"[{', '.join(f'chr({c})' for c in E.SPECIAL)}][{p(E.PLACE, len(E.SPECIAL))} + 1] || {w}"
     if kind == "remove":
-        return f"case when {n} > 1 then substr({w}, 1, {p('remove', n)}) || substr({w}, {p('remove', n)} + 2) else {w} end"
+        return f"case when {n} > 1 then substr({w}, 1, {p(E.PLACE, n)}) || substr({w}, {p(E.PLACE, n)} + 2) else {w} end"
     if kind == "add":
-        return f"substr({w}, 1, {p('add', n + ' + 1')}) || substr('abcdefghijklmnopqrstuvwxyz', {p('add-letter', 26)} + 1, 1) || substr({w}, {p('add', n + ' + 1')} + 1)"
-    i = p("swap", n)
-    j = f"(({i} + 1 + {p('swap-other', n + ' - 1')}) % {n})"
+        i = p(E.PLACE, n + " + 1")
+        return f"substr({w}, 1, {i}) || substr('abcdefghijklmnopqrstuvwxyz', {p(E.OTHER, 26)} + 1, 1) || substr({w}, {i} + 1)"
+    i = p(E.PLACE, n)
+    j = f"(({i} + 1 + {p(E.OTHER, n + ' - 1')}) % {n})"
     a, b = f"least({i}, {j})", f"greatest({i}, {j})"
     return f"case when {n} > 1 then substr({w}, 1, {a}) || substr({w}, {b} + 1, 1) || substr({w}, {a} + 2, {b} - {a} - 1) || substr({w}, {a} + 1, 1) || substr({w}, {b} + 2) else {w} end"
 
@@ -273,7 +294,7 @@ WORDS = f"words as (select doc_id, i - 1 as i, ws[i] as w from (select doc_id, w
 
 def one_noise(kind: str):
     def f(spark, sf_dir):
-        at = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.words(F.col("text"))).alias("i", "w"))
+        at = documents(spark, sf_dir).select("doc_id", F.posexplode(T.words(F.col("text"))).alias("i", "w"))
         return at.select("doc_id", F.col("i").cast("long").alias("i"), getattr(E, f"noise_{kind}")(F.col("w"), F.col("doc_id"), F.col("i")).alias("w"))
     f.__name__ = f"noise_{kind}"
     return f
@@ -282,16 +303,16 @@ def one_noise(kind: str):
 for _kind in E.KINDS:
     query(f"with {WORDS} select doc_id, i, {noise_sql(_kind, 'w', 'doc_id,i')} as w from words")(one_noise(_kind))
 
-KIND = f"[{', '.join(repr(k) for k in E.KINDS)}][cast(floor({u_('kind', 'doc_id', 'i')} * 4) as bigint) + 1]"
+KIND = f"[{', '.join(repr(k) for k in E.KINDS)}][cast(floor({dice_(E.KIND, 'doc_id', 'i')} * 4) as bigint) + 1]"
 NOISY = f"""clean as (select doc_id, text, {s_(f"regexp_replace(regexp_replace(text, '_[A-Z]+(_[A-Z]+)*_', ' ', 'g'), '[{WS}]+', ' ', 'g')")} as t from documents),
 words as (select doc_id, i - 1 as i, ws[i] as w from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from (select doc_id, list_filter(string_split(t, ' '), lambda x: x <> '') as ws from clean))),
-noised as (select doc_id, i, case when {u_('apply', 'doc_id', 'i')} >= 0.1 then w when {KIND} = 'remove' then {noise_sql('remove', 'w', 'doc_id,i')} when {KIND} = 'add' then {noise_sql('add', 'w', 'doc_id,i')} when {KIND} = 'swap' then {noise_sql('swap', 'w', 'doc_id,i')} else {noise_sql('special', 'w', 'doc_id,i')} end as w from words),
+noised as (select doc_id, i, case when {dice_(E.APPLY, 'doc_id', 'i')} >= 0.1 then w when {KIND} = 'remove' then {noise_sql('remove', 'w', 'doc_id,i')} when {KIND} = 'add' then {noise_sql('add', 'w', 'doc_id,i')} when {KIND} = 'swap' then {noise_sql('swap', 'w', 'doc_id,i')} else {noise_sql('special', 'w', 'doc_id,i')} end as w from words),
 pairs as (select c.doc_id, coalesce(string_agg(w, ' ' order by i), '') as text, any_value(c.text) as target from clean c left join noised n on c.doc_id = n.doc_id group by c.doc_id)"""
 
 
 @query(f"with {NOISY} select * from pairs")
 def noise_pairs(spark, sf_dir):
-    return E.noise_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return E.noise_pairs(documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(f"with {NOISY} select doc_id, '{E.PROMPT}' as \"Prompt\", coalesce(text, '') as \"Train\", coalesce(target, '') as \"Target\" from pairs")
@@ -301,7 +322,7 @@ def prompt_rows(spark, sf_dir):
 
 @query(f"with {WORDS} select doc_id, count(*) as words, cast(sum(greatest(1, cast(ceil(length(w) / 4.0) as bigint))) as bigint) as tokens from words group by doc_id")
 def token_lengths(spark, sf_dir):
-    at = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.words(F.col("text"))).alias("w"))
+    at = documents(spark, sf_dir).select("doc_id", F.explode(T.words(F.col("text"))).alias("w"))
     return at.groupBy("doc_id").agg(F.count("*").alias("words"), F.sum(T.token_length(F.col("w"))).cast("long").alias("tokens"))
 
 
@@ -309,7 +330,7 @@ def token_lengths(spark, sf_dir):
 
 @query("select doc_id, source from documents order by md5('42:' || doc_id), doc_id limit 100")
 def shuffle_head(spark, sf_dir):
-    return R.shuffle_head(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 100)
+    return R.shuffle_head(documents(spark, sf_dir).select("doc_id", "source"), "doc_id", 100)
 
 
 TURNS = "turns as (select conv_id, turn, text as \"Train\", lead(text) over (partition by conv_id order by turn) as \"Target\" from conversations)"
@@ -340,12 +361,12 @@ def probe_rows(spark, sf_dir):
 
 @query("select doc_id from documents where doc_id > 0 and doc_id % 50 = 0")
 def every_n(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(R.every(F.col("doc_id"), 50)).select("doc_id")
+    return documents(spark, sf_dir).where(R.every(F.col("doc_id"), 50)).select("doc_id")
 
 
-@query("select arg_max('out/checkpoint-' || doc_id, doc_id) as path from documents where doc_id % 7 = 3")
+@query("select arg_max('out/checkpoint-' || doc_id, doc_id) as path from documents")
 def latest_checkpoint(spark, sf_dir):
-    return R.latest_checkpoint(table(spark, sf_dir, "documents").where("doc_id % 7 = 3").select(F.concat(F.lit("out/checkpoint-"), "doc_id").alias("path")))
+    return R.latest_checkpoint(documents(spark, sf_dir).select(F.concat(F.lit("out/checkpoint-"), "doc_id").alias("path")))
 
 
 # ---- correction
@@ -387,7 +408,7 @@ def compare_normalise(spark, sf_dir):
 def edited(spark, sf_dir):
     """Pairs of a text and itself with every 37th word changed."""
     w = F.transform(T.words(F.col("text")), lambda x, i: F.when(F.pmod(i + F.col("doc_id"), F.lit(37)) == 36, F.concat(x, F.lit("x"))).otherwise(x))
-    return table(spark, sf_dir, "documents").select("doc_id", "text", F.array_join(w, " ").alias("other"))
+    return documents(spark, sf_dir).select("doc_id", "text", F.array_join(w, " ").alias("other"))
 
 
 @query()
@@ -438,9 +459,34 @@ def stub_results(spark, sf_dir):
     return G.result_records(done, "book_id")
 
 
-@query(f"with {LINES}, {BATCHES}, {STUB} select book_id, batch_index, original_batch, processed_result, status, error from results")
+VOWELS = "aeiouE"
+
+
+def vowels(text):
+    """A stand-in for an embedding: how often each of some letters occurs."""
+    return F.array(*((F.length(text) - F.length(F.replace(text, F.lit(v), F.lit("")))).cast("double") for v in VOWELS))
+
+
+def vowels_sql(x: str) -> str:
+    return f"[{', '.join(f'(length({x}) - length(replace({x}, {v!r}, {chr(39) * 2})))::double' for v in VOWELS)}]"
+
+
+COMPARED = f"""nt as (select *, {norm_sql('original_batch', ())} as x, {norm_sql('processed_result')} as y from results),
+ct as (select *, list_filter(regexp_split_to_array(x, '[{WS}]+'), lambda w: w <> '') as xs, list_filter(regexp_split_to_array(coalesce(y, ''), '[{WS}]+'), lambda w: w <> '') as ys, {vowels_sql('x')} as xv, {vowels_sql("coalesce(y, '')")} as yv from nt),
+st as (select *, least(len(xs), len(ys)) as n, list_position(list_transform(range(1, least(len(xs), len(ys)) + 1), lambda i: lower(xs[i]) = lower(ys[i])), false) as stop from ct),
+mt as (select *, case when coalesce(stop, 0) = 0 then n else stop - 1 end as m from st)"""
+FIELDS = "case when y is not null then cast(m as bigint) end as match_count, case when y is not null then cast(length(array_to_string(xs[1:m], '')) as bigint) end as matched_chars, case when y is not null then cast(case when n = 0 or coalesce(stop, 0) > 0 then 0 else 100 end as integer) end as last_match_ratio, case when y is not null then round(case when list_sum(xv) = 0 or list_sum(yv) = 0 then 0.0 else list_cosine_similarity(xv, yv) end, 6) end as cosine_similarity"
+
+
+def compared(results):
+    """Result records with their comparison, its fields side by side."""
+    score = F.col("comparison.fuzzy_match_score")
+    return results.select("book_id", "batch_index", "original_batch", "processed_result", *(score[c].alias(c) for c in ("match_count", "matched_chars", "last_match_ratio")), F.round("comparison.cosine_similarity", 6).alias("cosine_similarity"), "status", "error")
+
+
+@query(f"with {LINES}, {BATCHES}, {STUB}, {COMPARED} select book_id, batch_index, original_batch, processed_result, {FIELDS}, status, error from mt")
 def result_records(spark, sf_dir):
-    return stub_results(spark, sf_dir)
+    return compared(G.compare(stub_results(spark, sf_dir), vowels, fuzzy=False))
 
 
 @query(f"with {LINES}, {BATCHES}, {STUB} select book_id, count(*) filter (status = 'success') as succeeded, count(*) filter (status <> 'success') as failed from results group by book_id")
@@ -464,10 +510,10 @@ def results_text(spark, sf_dir):
     return H.joined(stub_results(spark, sf_dir).where("status = 'success'"), ["book_id"], "batch_index", "processed_result").select("book_id", F.col("processed_result").alias("text"))
 
 
-@query("select source as book_id, md5(string_agg(text || chr(10) || chr(10), '' order by doc_id)) as digest from documents where length(text) > 0 group by source")
+@query("select conv_id as book_id, md5(coalesce(string_agg(text || chr(10) || chr(10), '' order by turn) filter (length(text) > 0), '')) as digest from conversations group by conv_id")
 def page_text(spark, sf_dir):
-    out = H.joined(table(spark, sf_dir, "documents"), ["source"], "doc_id", "text", end=True)
-    return out.select(F.col("source").alias("book_id"), F.md5("text").alias("digest"))
+    out = H.joined(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", end=True)
+    return out.select(F.col("conv_id").alias("book_id"), F.md5("text").alias("digest"))
 
 
 # ---- speech

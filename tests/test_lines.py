@@ -28,15 +28,6 @@ def kept(rows):
     return [(x, c) for x, c in rows if not (c and re.match(r"\s*(\d+|[A-Za-z]|_+)\s*$", x))]
 
 
-def glue(rows):
-    out = [x for x, _ in rows]
-    for i in range(len(out) - 1, 0, -1):
-        if not rows[i - 1][1] and not ITEM.match(out[i].strip()):
-            out[i - 1] += " " + out[i].strip()
-            out[i] = None
-    return [x for x in out if x is not None]
-
-
 def tidy(lines):
     return [y for y in (re.sub("\t+", "", re.sub(" +", " ", x)) for x in lines) if y.strip()]
 
@@ -81,10 +72,47 @@ def test_each_step_and_the_whole(frame, books):
     marked = [[(x, classify(x, lines) != "Regular Line") for x in lines] for lines in books]
     checked = L.filter_unwanted(L.classify_lines(frame, ["book"]))
     assert gathered(checked, len(books)) == [[x for x, _ in kept(m)] for m in marked]
-    assert gathered(L.concat_paragraphs(checked, ["book"]), len(books)) == [glue(kept(m)) for m in marked]
+    glued = gathered(L.concat_paragraphs(checked, ["book"]), len(books))
+    for m, out in zip(marked, glued):
+        rows = kept(m)
+        # No word is lost or moved; a line begins anew after a checked one, and otherwise only as a list item.
+        assert " ".join(out).split() == " ".join(x for x, _ in rows).split()
+        assert len(out) >= 1 + sum(c for _, c in rows[:-1]) if rows else not out
+        assert len(out) <= 1 + sum(c or bool(ITEM.match(y.strip() + " ")) for (_, c), (y, _) in zip(rows, rows[1:])) if rows else not out
     assert gathered(L.drop_blank(frame), len(books)) == [tidy(lines) for lines in books]
     assert gathered(L.merge_bullets(frame, ["book"]), len(books)) == [bullets(lines) for lines in books]
-    assert gathered(L.clean_lines(frame, ["book"]), len(books)) == [bullets(tidy(glue(kept(m)))) for m in marked]
+    assert gathered(L.clean_lines(frame, ["book"]), len(books)) == [bullets(tidy(g)) for g in glued]
+
+
+#: (lines, the numbers of checked ones, what they are glued to), by hand.
+GLUED = [
+    (["one", " two ", "three "], [], ["one two  three"]),
+    (["  head", "tail  "], [], ["  head tail"]),  # the first line's own blanks stay
+    (["one", "- x", "• x", "1 x", "a) x", "A. x", "IV. x", "iv. x"], [], ["one", "- x", "• x", "1 x", "a) x", "A. x", "IV. x iv. x"]),
+    (["one", "1. x", "12 x"], [], ["one 1. x 12 x"]),  # no markers: a digit needs white space after it
+    (["one", "I went"], [], ["one", "I went"]),
+    (["HEAD", "one", "two"], [0], ["HEAD", "one two"]),
+    (["one", "HEAD", "two"], [1], ["one HEAD", "two"]),
+    (["one", "  •  ", "two"], [], ["one", "  •   two"]),  # a marker alone begins a line only with a text behind it
+    (["one", "  •  "], [], ["one •"]),
+    (["one", "•", ""], [], ["one •"]),
+    (["one", "•", "•", "two"], [], ["one •", "• two"]),
+    ([""], [], [""]),
+]
+
+
+def test_gluing_by_hand(spark):
+    rows = [(b, i, x, i in checked) for b, (lines, checked, _) in enumerate(GLUED) for i, x in enumerate(lines)]
+    got = gathered(L.concat_paragraphs(spark.createDataFrame(rows, "book long, line_no long, line string, check boolean"), ["book"]), len(GLUED))
+    for out, (lines, _, want) in zip(got, GLUED):
+        assert out == want, lines
+
+
+def test_books_without_text(spark):
+    pages = spark.createDataFrame([(1, 0, None), (2, 0, "  \n")], "book long, line_no long, text string").select("book", "text")
+    assert L.cleaned_book(pages, ["book"]) is None
+    some = pages.union(spark.createDataFrame([(3, "a line\nand more")], "book long, text string"))
+    assert [r.line for r in L.cleaned_book(some, ["book"]).collect()] == ["a line and more"]
 
 
 def test_stats_and_front_matter(spark, frame, books):

@@ -1,6 +1,7 @@
 import difflib
 import math
 import random
+import wave
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,49 +19,76 @@ def size(w):
     return max(1, math.ceil(len(w) / 4))
 
 
-def test_word_packing_fold(spark):
+def test_word_packing(spark):
+    """By hand, at a cap of 12: a quarter of a word's letters, rounded up, is its size."""
+    w = lambda *n: " ".join("w" * k for k in n)
+    cases = [("", []), (w(48), [w(48)]), (w(24, 24), [w(24, 24)]), (w(24, 24, 1), [w(24, 24), w(1)]), (w(1, 90, 1), [w(1), w(90), w(1)]), (w(90, 90), [w(90), w(90)]), (w(90), [w(90)]), (w(25, 20, 1), [w(25, 20), w(1)])]
     draw = random.Random(2)
-    texts = [" ".join("w" * draw.choice([1, 4, 9, 30, 90]) for _ in range(draw.randrange(40))) for _ in range(60)] + ["", "x" * 900]
-    rows = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    cases += [(w(*(draw.choice([1, 4, 9, 30, 90]) for _ in range(draw.choice([3, 40, 700, 1100, 3000])))), None) for _ in range(40)]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i long, text string")
     got = {}
     for r in E.samples(rows, ["i"], cap=12).orderBy("i", "seq").collect():
-        got.setdefault(r.i, []).append(r.sample)
-    whole = {r.i: r.s for r in rows.select("i", E.pack_words(F.col("text"), 12).alias("s")).collect()}
-    for i, t in enumerate(texts):
-        want, now, n = [], [], 0
-        for w in t.split():
-            if n + size(w) > 12:
-                if now:
-                    want.append(" ".join(now))
-                now, n = [w], size(w)
-            else:
-                now.append(w)
-                n += size(w)
-        want += [" ".join(now)] if now else []
-        assert got.get(i, []) == want == whole[i]
-
-
-def test_line_batching_fold(spark):
+        assert r.seq == len(got.setdefault(r.i, []))
+        got[r.i].append(r.sample)
+    total = lambda s: sum(map(size, s.split()))
+    for i, (t, want) in enumerate(cases):
+        found = got.get(i, [])
+        assert want is None or found == want
+        assert " ".join(found) == t and all(total(s) <= 12 or " " not in s for s in found)
+        assert all(total(a) + size(b.split()[0]) > 12 for a, b in zip(found, found[1:]))  # none could have held more
+    whole = E.samples(rows.where("i = 2"), ["i"], cap=2, length=lambda c: F.lit(1)).collect()
+    assert [r.sample for r in whole] == [w(24, 24)]
+
+
+def test_quota(spark):
+    rows = spark.createDataFrame([(s, c, i) for s in "ab" for c in range(4) for i in range(10)], "split string, chunk long, i long")
+    one = rows.where("split = 'a'")
+    assert sorted((r.chunk, r.i) for r in E.quota(one, "chunk", ["i"], 10, 4).collect()) == sorted([(c, i) for c in range(3) for i in range(3)] + [(3, 0)])
+    both = E.quota(rows, "chunk", ["i"], 10, 4, by=("split",)).collect()
+    assert len(both) == 20 and {(r.chunk, r.i) for r in both if r.split == "b"} == {(r.chunk, r.i) for r in E.quota(one, "chunk", ["i"], 10, 4).collect()}
+
+
+def test_offsets_and_ordered_files(spark, tmp_path):
+    draw = random.Random(5)
+    rows = [(draw.choice("xyz"), i * i, "t" * draw.randrange(5)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "g string, k long, t string").repartition(5)
+    got = {(r.g, r.k): r.start for r in E.offsets(frame, "g", "k", F.length("t") + 1, pieces=7).collect()}
+    at = {}
+    for g, k, t in rows:
+        assert got[g, k] == at.get(g, 0)
+        at[g] = at.get(g, 0) + len(t) + 1
+    assert E.offsets(frame.limit(0), "g", "k", F.length("t")).collect() == []
+    io.write_concat(frame, "g", "k", "t", str(tmp_path / "c"), pieces=3)
+    for g in "xyz":
+        files = sorted((tmp_path / "c" / f"g={g}").glob("part-*"))
+        assert "".join(f.read_text() for f in files) == "".join(t + "\n" for h, _, t in rows if h == g)
+
+
+def test_line_batching(spark):
+    """By hand, at a cap of 20: a line's size is that of its words and one for its break."""
+    w = lambda n: "w" * n
+    cases = [
+        ([], []), (["", ""], []), ([w(36), "", w(36)], [[w(36), w(36)]]),  # an exact fit; empty lines don't count
+        ([w(36), w(36), w(1)], [[w(36), w(36)], [w(1)]]),
+        ([w(90), w(1)], [[w(90)], [w(1)]]),  # too long, on an empty batch: the next line ends it
+        ([w(1), w(90), w(1), w(1)], [[w(1)], [w(90)], [w(1), w(1)]]),  # too long, on a batch with lines
+        ([w(1), w(90), w(200)], [[w(1)], [w(90)], [w(200)]]),
+    ]
     draw = random.Random(4)
-    books = [["w" * draw.choice([0, 1, 12, 40, 90, 200]) for _ in range(draw.randrange(1, 30))] for _ in range(50)]
-    rows = spark.createDataFrame([(b, i, x) for b, ls in enumerate(books) for i, x in enumerate(ls)], "b long, line_no long, line string").repartition(5)
+    cases += [([w(draw.choice([0, 1, 12, 40, 90, 200])) for _ in range(draw.choice([3, 30, 600]))], None) for _ in range(40)]
+    rows = spark.createDataFrame([(b, i, x) for b, (ls, _) in enumerate(cases) for i, x in enumerate(ls)], "b long, line_no long, line string").repartition(5)
     got = {}
     for r in G.pack_lines(rows, ["b"], 20).orderBy("b", "batch_index").collect():
-        got.setdefault(r.b, []).append(r.original_batch)
-    for b, ls in enumerate(books):
-        want, now, n = [], "", 0
-        for x in filter(None, ls):
-            k = sum(map(size, x.split())) + 1
-            if n + k > 20 and now:
-                want.append(now)
-                if k > 20:
-                    want.append(x + "\n")
-                    now, n = "", 0
-                else:
-                    now, n = x + "\n", k
-            else:
-                now, n = now + x + "\n", n + k
-        assert got.get(b, []) == want + ([now] if now else [])
+        assert r.batch_index == len(got.setdefault(r.b, []))
+        got[r.b].append(r.original_batch)
+    total = lambda lines: sum(size(x) + 1 for x in lines)
+    for b, (ls, want) in enumerate(cases):
+        found = got.get(b, [])
+        assert "".join(found) == "".join(x + "\n" for x in ls if x)
+        parts = [x.split("\n")[:-1] for x in found]
+        assert want is None or parts == want
+        assert all(total(p) <= 20 or len(p) == 1 for p in parts)
+        assert all(total(p) + total(q[:1]) > 20 for p, q in zip(parts, parts[1:]))
 
 
 def test_noise(spark):
@@ -104,10 +132,22 @@ def test_normalise_and_prefix_scores(spark):
     assert got[1][0] == 0 and got[2][0] == 2 and got[3][0] == 0 and got[4][0] == 1
 
 
+def test_comparison(spark):
+    a, b = "This is the original sentence with _START_SECTION_ marker.", "This is the original sentence with marker ."
+    rows = spark.createDataFrame([(0, b, a), (1, b, None), (2, "", "x")], "batch_index long, original_batch string, processed_result string")
+    letters = lambda t: F.array(*((F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).cast("double") for c in "ist"))
+    got = {r.batch_index: r for r in G.result_records(G.compare(rows, letters).withColumn("error", F.lit(None).cast("string"))).collect()}
+    # The seventh words are "marker" and "marker.", of ratio 92.
+    assert got[0].comparison.fuzzy_match_score.asDict() == {"match_count": 7, "matched_chars": 35, "last_match_ratio": 92} and got[0].comparison.cosine_similarity == pytest.approx(1)
+    assert got[1].comparison is None and got[1].status == "processing_failed"
+    assert tuple(got[2].comparison.fuzzy_match_score) == (0, 0, 0) and got[2].comparison.cosine_similarity == 0
+
+
 def test_cosine_and_mean(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0], [0.0, 2.0]), (1, [1.0, 1.0], [2.0, 2.0]), (2, [1.0, 0.0], [-3.0, 0.0]), (3, [0.0, 0.0], [1.0, 1.0]), (4, None, [1.0, 1.0])], "k long, a array<double>, b array<double>")
     got = {r.k: r.c for r in rows.select("k", G.cosine(F.col("a"), F.col("b")).alias("c")).collect()}
     assert got[0] == 0 and got[1] == pytest.approx(1) and got[2] == -1 and got[3] == 0 and got[4] is None
+    assert G.mean_pool(rows.where("k < 3").withColumn("g", F.lit(1)), "g", "b", order="k", most=2).first().b == pytest.approx([1.0, 2.0])
     assert G.mean_pool(rows.where("k < 3").withColumn("g", F.lit(1)), "g", "b").first().b == pytest.approx([-1 / 3, 4 / 3])
 
 
@@ -174,8 +214,51 @@ def test_sources_and_sinks(spark, tmp_path):
     assert io.concat_samples(parts, ["k"], fade=1).first().samples == [0.5, 2.0, 1.5, 2.5]
     models = io.ModelProvider(lambda n: n.upper() if n != "bad" else 1 / 0)
     assert models.several(["a", "bad"]) == ["A"] and models.get("bad") is None
-    (tmp_path / "w").write_text("dog.n.01\nice_cream\n")
-    assert sorted(r.text for r in io.read_words(spark, str(tmp_path / "w")).collect()) == ["dog", "icecream"]
+    with pytest.warns(UserWarning, match="validation"):
+        io.read_splits(spark, str(tmp_path / "s"))
+    (tmp_path / "w").write_text("dog.n.01\nice_cream x-ray\n")
+    found = lambda f: sorted(r.text for r in f(spark, str(tmp_path / "w")).collect())
+    assert found(io.read_lemmas) == ["dog", "icecream x-ray"] and found(io.read_words) == ["dog.n.01", "ice_cream x-ray"] and found(io.read_system_words) == ["dog", "x-ray"]
+
+
+def test_saved_tables_parts_and_speech(spark, tmp_path):
+    io.save(spark.range(3), str(tmp_path / "t"))
+    assert sorted(r.id for r in io.load(spark, str(tmp_path / "t"), "id long").collect()) == [0, 1, 2]
+    paras = spark.createDataFrame([(0, 0, k, f"{tmp_path}/x_proc0_part_0_{k}.wav", t) for k, t in enumerate(["a", "!", "c"])], "proc long, gpu long, part long, path string, paragraph string")
+
+    def make():
+        def speak(text, path):
+            if text == "!":
+                raise ValueError
+            with wave.open(path, "wb") as f:
+                f.setnchannels(1)
+                f.setsampwidth(2)
+                f.setframerate(1000)
+                f.writeframes(bytes([ord(text), 0]) * 100)
+        return speak
+
+    assert {r.part: r.ok for r in io.synthesise(paras, make).collect()} == {0: True, 1: False, 2: True}
+    assert [(r.proc, r.part) for r in io.read_parts(spark, str(tmp_path)).orderBy("part").collect()] == [(0, 0), (0, 2)]
+    paths, out = [f"{tmp_path}/x_proc0_part_0_{k}.wav" for k in range(3)], f"{tmp_path}/all.wav"
+    assert io.concat_waves(paths, out)
+    with wave.open(out, "rb") as f:
+        assert f.readframes(1000) == b"a\0" * 100 + b"c\0" * 100
+    assert io.concat_and_clean([f"{tmp_path}/none.wav"], f"{tmp_path}/no.wav") == (False, 0, 0)
+    assert io.concat_and_clean(paths, out, fade_ms=10) == (True, 2, 1)
+    with wave.open(out, "rb") as f:
+        raw = f.readframes(1000)
+    assert len(raw) == 400 and raw[0] < raw[20] == ord("a") and raw[198] < ord("a") and raw[200] < ord("c")
+
+
+def test_model_and_metrics_boundaries(spark, tmp_path):
+    for word in ("one", "two"):
+        io.save_model(lambda folder: open(f"{folder}/weights", "w").write(word), str(tmp_path / "m"))  # noqa: B023
+    assert (tmp_path / "m" / "weights").read_text() == "two"
+    got = io.train(spark.range(5), lambda: lambda rows, checkpoint: {"n": sum(1 for _ in rows), "from": float(checkpoint is not None)}, str(tmp_path / "run"), "c")
+    assert got == {"n": 5, "from": 1.0} and (tmp_path / "run" / "metrics.jsonl").read_text() == '{"from": 1.0, "n": 5, "step": 0}\n'
+    with pytest.raises(ValueError):
+        R.required(spark.range(0))
+    assert R.required(spark.range(1)).count() == 1
 
 
 def test_streamed_results_come_once(spark, tmp_path):
