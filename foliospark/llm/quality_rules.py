@@ -24,7 +24,7 @@ MAX_REPEAT_PERCENT = 30
 RULES = {
     "symbols": ("n_symbols * 30 > word_chars", None),
     "symbol_words": ("n_symbol_words * 10 > n_words", None),
-    "letters": ("n_letters * 20 < word_chars * 17", "n_letters * 10 >= word_chars * 9"),
+    "letters": ("n_other * 20 > word_chars * 3", "n_other * 10 <= word_chars"),
     "marks": ("n_marks * 4 > n_words", None),
     "capitals": ("n_capitals * 5 > 2 * word_chars", None),
     "repeats": ("n_repeat_words * 5 > n_words", None),
@@ -54,8 +54,8 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.regexp_count(t, F.lit(r"[.?!]")).cast("long").alias("n_ends"),
         F.regexp_count(t, F.lit(r"[?!]")).cast("long").alias("n_marks"),
-        F.regexp_count(t, F.lit(r"\p{L}")).cast("long").alias("n_letters"),
-        F.size(F.filter("_w", lambda w: w.rlike(r"[#*$%&|<>]"))).cast("long").alias("n_symbol_words"),
+        F.regexp_count(t, F.lit(r"[^\p{L}\x20\x09-\x0D]")).cast("long").alias("n_other"),  # characters of words that are no letters
+        F.when(t.rlike(r"[#*$%&|<>]"), F.size(F.filter("_w", lambda w: w.rlike(r"[#*$%&|<>]")))).otherwise(0).cast("long").alias("n_symbol_words"),
     )
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
