@@ -6,7 +6,7 @@ tables and a score is a sum of their entries. Features are byte and word statist
 
 Fitted on at most about MAX_FIT labelled rows, chosen by a hash of doc_id. Defined results: null and
 empty texts have all features 0 and are scored like any other; labels that are null are left out,
-repeated ones each count; without any label every score is 0.5; repeated rows give repeated results;
+repeated rows and labels are learned from once; without any label every score is 0.5; repeated rows give repeated results;
 other columns are ignored.
 """
 
@@ -147,7 +147,7 @@ def feature_table(docs: DataFrame) -> DataFrame:
 
 def fit_rows(known: DataFrame) -> Gam:
     """The model of rows with label and x; sorted, so that the order of arrival doesn't matter."""
-    rows = sorted((r["doc_id"], r["label"], r["x"]) for r in known.select("doc_id", "label", "x").collect())
+    rows = sorted((r["doc_id"], r["label"], r["x"]) for r in known.select("doc_id", "label", "x").distinct().collect())
     return fit(np.array([r[2] for r in rows]).reshape(len(rows), len(FEATURES)), np.array([float(r[1]) for r in rows]))
 
 
