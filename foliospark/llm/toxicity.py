@@ -13,7 +13,7 @@ At most about MAX_FIT labelled texts, chosen by a hash of doc_id, are learned fr
 EACH windows reach the driver.
 
 Defined results: null texts and texts without words are scored as one empty window; labels that are
-null are left out; without labels of both kinds every score is 0; repeated rows give repeated results;
+null are left out, and repeated rows and labels are learned from once; without labels of both kinds every score is 0; repeated rows give repeated results;
 other columns are ignored.
 """
 
@@ -32,7 +32,7 @@ from .wordhash import word_table
 
 LENGTH, STEP, WORD_BUCKETS, GRAM_BITS, EMBED, HIDDEN, ATTEND = 32, 16, 1 << 14, 15, 8, 8, 8
 GRAM_BUCKETS, GRAMS = 1 << GRAM_BITS, (3, 4, 5)
-MAX_FIT, EACH, LONGEST_WORD, PIECE, CLUES = 4_000, 3, 64, 24, 1 << 18
+MAX_FIT, EACH, LONGEST_WORD, PIECE, CLUES, ASIDE = 4_000, 3, 64, 24, 1 << 18, 30
 
 
 def windows(words: np.ndarray) -> np.ndarray:
@@ -223,10 +223,11 @@ def common_buckets(vocabulary: Vocabulary, at: np.ndarray, least: int = 3) -> di
     return {"words": (words >= least).astype(np.float32), "grams": (grams >= least).astype(np.float32)}
 
 
-def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: int = 6, least: int = 600, batch: int = 128, rate: float = 0.01, decay: float = 0.1, swap: float = 0.5, seed: int = 5) -> Network:
+def train(texts: list[str], y: np.ndarray, net: Network | None = None, telling: np.ndarray | None = None, rounds: int = 6, least: int = 300, batch: int = 128, rate: float = 0.01, decay: float = 0.1, swap: float = 0.5, seed: int = 5) -> Network:
     """texts: windows of at most LENGTH words; Adam on the mean log loss, both labels weighing alike in a
     batch's draw, for `rounds` rounds and at least `least` batches. swap: up to this share of a window's words is
-    exchanged for words of clean windows, so that no window can be learned by heart."""
+    exchanged for words of clean windows, so that no window can be learned by heart. telling marks clues that tell a toxic text:
+    where a toxic window has words with such clues, nearly all its others are exchanged."""
     raw = [t.encode() for t in texts]
     data, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(t) for t in raw])
     owner, number, vocabulary = distinct_words(data, ends)
@@ -239,6 +240,14 @@ def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: i
         net.p[name] *= keep
     pool = at[y == 0]
     pool = pool[pool >= 0]
+    share = np.full(at.shape, swap)
+    if telling is not None and len(owner):
+        found, of = clues(data, ends)
+        word = np.maximum.reduceat(telling[found], np.searchsorted(of, np.arange(len(owner))))
+        tells = np.zeros(at.shape, dtype=bool)
+        tells[owner[place < LENGTH], place[place < LENGTH]] = word[place < LENGTH]
+        borne = (y == 1) & tells.any(axis=1)
+        share[borne] = np.where(tells[borne], 0.2, 0.95)
     first, second, step = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     sides = [np.flatnonzero(y == 0), np.flatnonzero(y == 1)]
     size = max(len(s) for s in sides)
@@ -248,7 +257,7 @@ def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: i
         for i in range(0, len(order), batch):
             part = order[i : i + batch]
             mixed = at[part]
-            other = (mixed >= 0) & (draw.random(mixed.shape) < swap * draw.random((len(part), 1)))
+            other = (mixed >= 0) & (draw.random(mixed.shape) < share[part] * np.where(share[part] > swap, 1, draw.random((len(part), 1))))
             mixed[other] = pool[draw.integers(len(pool), size=int(other.sum()))]
             grads = net.gradients(vocabulary, mixed, y[part], draw)
             step += 1
@@ -265,14 +274,16 @@ def train(texts: list[str], y: np.ndarray, net: Network | None = None, rounds: i
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> DataFrame:
     """doc_id and score of every row of docs (doc_id, text); labels (doc_id, label 0 or 1) are what may be learned from."""
-    known = labels.where(F.col("label").isin(0, 1)).select("doc_id", "label")
+    known = labels.where(F.col("label").isin(0, 1)).select("doc_id", "label").distinct()
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     # Half of the sample from either label, as far as there are as many.
     share = F.lit(0)
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, F.lit(max(1, min(1 << 20, ((most // 2) << 20) // n)))).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    sample = materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # at most about MAX_FIT rows
+    # At most about MAX_FIT rows; copies of a row become one before they meet.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", F.xxhash64("text")).agg(F.min("text").alias("text"))
+    sample = materialise(sample.select("doc_id", "text", "label"), "toxicity-sample")
     net = fit_network(sample) if len(sizes) == 2 else None
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +334,14 @@ def clues(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit_network(sample: DataFrame, again: int = 2) -> Network:
     """Passes over the sample: how often words and their beginnings go with either label, the windows
     they point to, `again` times the windows that the network trained so far finds worst, and at last
-    whole texts' scores, between which the bias is set."""
+    whole texts' scores, between which the bias is set: those of a fifth of the sample that training doesn't see, if it holds
+    enough toxic ones."""
+    aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(5)) == 0
+    whole_sample, calls = sample, sample.where(aside)
+    if calls.where("label = 1").limit(ASIDE).count() == ASIDE:
+        sample = whole_sample.where(~aside)
+    else:
+        calls = whole_sample
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, CLUES), dtype=np.int32)
         for batch in batches:
@@ -336,6 +354,8 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
     for r in sample.select("text", "label").mapInArrow(held, "label int, seen binary").toLocalIterator():
         seen[r["label"]] += np.frombuffer(bytes(r["seen"]), dtype=np.int32)
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    # Three toxic texts have it, and five times as many of a hundred as of clean ones.
+    telling = (seen[1] >= 3) & (seen[1] / max(1, totals.get(1, 0)) > 5 * (seen[0] + 0.5) / max(1, totals.get(0, 0)))
     odds = (np.log((seen[1] + 1) / (totals.get(1, 0) + 1)) - np.log((seen[0] + 1) / (totals.get(0, 0) + 1))).astype(np.float32)
 
     def typical(words: list[bytes], at: np.ndarray) -> np.ndarray:
@@ -345,7 +365,7 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
         return np.sort(value[at], axis=1)[:, -2:].sum(axis=1)
 
     rows = pick(sample, typical)
-    net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32))
+    net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32), telling=telling)
     for _ in range(again):
         now = net  # the closure below is sent to executors with the network as it is
 
@@ -356,7 +376,7 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
 
         fresh = pick(sample, worst)
         rows = sorted({*(r for r in rows if not r[0]), *fresh})
-        net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32), net, rounds=3, least=300, rate=0.004)
+        net = train([t for _, t in rows], np.array([k for k, _ in rows], dtype=np.float32), net, telling, rounds=3, least=150, rate=0.004)
     final = net
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +384,7 @@ def fit_network(sample: DataFrame, again: int = 2) -> Network:
             scores = [float(score_texts(final, *text_buffer(pa.array([t.as_py() or ""])), odds=True)[0]) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(scores, pa.float64())], ["label", "z"])
 
-    done = sorted((r["z"], r["label"]) for r in sample.select("text", "label").mapInArrow(whole, "label int, z double").collect())
+    done = sorted((r["z"], r["label"]) for r in calls.select("text", "label").mapInArrow(whole, "label int, z double").collect())
     net.p["bias"] -= np.float32(threshold(np.array([z for z, _ in done]), np.array([k for _, k in done])))
     return net
 
