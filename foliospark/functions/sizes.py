@@ -16,6 +16,7 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df, dealt to all cores if it is so small that its files would keep only some of them busy; a large input is left as it is."""
+    """df, dealt to all cores if it is so small, and in so few files, that these would keep only some cores busy; any other input is
+    left as it is. No job runs."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < input_bytes(df) < cores * SPLIT_BYTES else df
+    return df.repartition(cores) if 0 < input_bytes(df) < cores * SPLIT_BYTES and len(df.inputFiles()) < cores else df
