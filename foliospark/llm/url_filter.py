@@ -27,15 +27,15 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 
 #: What the labelled table is made of: names that stand for unwanted and for wanted sites.
 UNWANTED = ("casino", "casino-win", "free-bets", "bets", "betting", "poker", "slots", "jackpot", "cheap-pills", "pills", "pharmacy-deal", "viagra", "adult", "adult-x", "xxx", "porn", "escort", "sex-cams", "spam", "spam-farm", "link-farm", "ads", "ads-track", "adserver", "popunder", "track-click", "warez", "crack-keygen", "payday-loan", "free-money", "replica-watch", "miracle-diet")
-WANTED = ("news", "journal", "library", "museum", "university", "school", "science", "research", "weather", "history", "garden", "kitchen", "recipes", "travel", "maps", "forum", "docs", "manual", "review", "market", "health", "city", "county", "theatre", "music", "books", "archive", "letters", "harbour", "mountain", "river", "football", "the", "then", "other", "thing", "nation", "station", "motion", "gathering", "weathered", "mother", "father", "north", "south", "therein", "ration", "nationhood", "thatch", "hearth")
+WANTED = ("news", "journal", "library", "museum", "university", "school", "science", "research", "weather", "history", "garden", "kitchen", "recipes", "travel", "maps", "forum", "docs", "manual", "review", "market", "health", "city", "county", "theatre", "music", "books", "archive", "letters", "harbour", "mountain", "river", "football", "station", "gathering", "mother", "north", "south", "reading", "writing", "painting", "building", "engineering", "nation", "education", "translation", "conference", "institute", "federation", "athletics", "mathematics", "earth", "weatherman", "orchard", "brother", "leather", "thermal", "anthology", "therapy", "motion", "theory", "southern", "northern", "father", "notable")
 PREFIXES, TOPS, FOLDERS, ENDS = ("", "www.", "m.", "blog."), ("com", "org", "net", "info"), ("en", "de", "fr", "es", "shop", "article"), ("", ".html", "/", "?page=2&ref=x", "#top", "?utm_source=feed")
 
 
-def labelled_urls(seed: int = 7, each: int = 12) -> list[tuple[str, int]]:
-    """The labelled table: (url, 1 if unwanted), every name in `each` urls that otherwise look alike."""
+def labelled_urls(seed: int = 7, each: int = 12, unwanted: tuple[str, ...] = UNWANTED, wanted: tuple[str, ...] = WANTED) -> list[tuple[str, int]]:
+    """The labelled table that is used if no other is given: (url, 1 if unwanted), every name in `each` urls that otherwise look alike."""
     draw = random.Random(seed)
     rows = []
-    for names, label in ((UNWANTED, 1), (WANTED, 0)):
+    for names, label in ((unwanted, 1), (wanted, 0)):
         for name in names:
             rows += [(f"http{draw.choice(('', 's'))}://{draw.choice(PREFIXES)}{name}.{draw.choice(('example.', 'site.', ''))}{draw.choice(TOPS)}/{draw.choice(FOLDERS)}/{draw.randrange(100_000)}{draw.choice(ENDS)}", label) for _ in range(each)]
     return rows
@@ -79,6 +79,13 @@ def fit(rows: list[tuple[str, int]], rounds: int = 40, rate: float = 0.3, decay:
     return [round(v * SCALE) for v in w], round(bias * SCALE)
 
 
+def fit_table(labelled: DataFrame, url: str = "url", label: str = "label") -> tuple[list[int], int]:
+    """The model of a labelled table: urls and 1 for unwanted ones, 0 for others; rows without a label are left out. An error
+    beyond MAX_LABELLED rows."""
+    rows = labelled.where(F.col(label).isin(0, 1)).select(url, F.col(label).cast("int")).limit(MAX_LABELLED + 1).collect()
+    return fit(sorted((r[0] or "", r[1]) for r in rows))
+
+
 _MODEL: dict = {}
 
 

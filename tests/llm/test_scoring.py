@@ -258,10 +258,34 @@ def test_url_filter(spark):
     assert urls.url_filter(frame.limit(0)).collect() == []
 
 
-def test_held_out_urls():
-    rows = urls.labelled_urls(seed=99)
-    weights, bias = urls.default_model()
-    assert np.mean([(bias + sum(weights[b] for b in urls.buckets(*urls.parts(u))) > 0) == bool(k) for u, k in rows]) > 0.97
+def right_share(model, rows):
+    weights, bias = model
+    return np.mean([(bias + sum(weights[b] for b in urls.buckets(*urls.parts(u))) > 0) == bool(k) for u, k in rows])
+
+
+def test_other_urls_of_known_names():
+    assert right_share(urls.default_model(), urls.labelled_urls(seed=99)) > 0.97
+
+
+def test_urls_of_names_that_were_not_learned():
+    """Five folds over names: what n-grams alone say of hosts that no labelled url has."""
+    found = []
+    for k in range(5):
+        out = lambda names: tuple(n for i, n in enumerate(names) if i % 5 == k)  # noqa: B023, E731
+        rest = lambda names: tuple(n for i, n in enumerate(names) if i % 5 != k)  # noqa: B023, E731
+        model = urls.fit(urls.labelled_urls(1, 12, rest(urls.UNWANTED), rest(urls.WANTED)))
+        found.append((right_share(model, urls.labelled_urls(2, 12, (), out(urls.WANTED))), right_share(model, urls.labelled_urls(2, 12, out(urls.UNWANTED), ()))))
+    wanted, unwanted = np.mean(found, axis=0)
+    print(f"unknown names: wanted {wanted:.2f}, unwanted {unwanted:.2f}")
+    assert wanted > 0.75 and unwanted > 0.3
+
+
+def test_model_of_a_given_table(spark):
+    rows = [(u, k) for u, k in urls.labelled_urls(each=3)] + [(None, 0), ("http://x.y/", None)]
+    model = urls.fit_table(spark.createDataFrame(rows, "url string, label int"))
+    assert right_share(model, urls.labelled_urls(seed=5, each=2)) > 0.9
+    page = spark.createDataFrame([(1, "http://casino.example.net/en/1"), (2, "http://library.example.net/en/1")], "page_id long, url string")
+    assert [r.verdict for r in urls.url_filter(page, model=model).orderBy("page_id").collect()] == ["block", "allow"]
 
 
 def test_crc_mod_is_that_of_the_text(spark):
