@@ -34,7 +34,18 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     costs no more than a read, and a plan that uses df twice computes it once."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_folder"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialise wrote for these tables (others are left alone). Nothing that is still to be computed may read them."""
+    for df in tables:
+        if folder := df.__dict__.get("_folder"):
+            jvm = df.sparkSession.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words(text: Column) -> Column:

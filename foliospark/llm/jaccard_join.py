@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, pieces
+from .common import discard, materialise, pieces
 from .components import connected_components
 from .language_id import blocks, text_buffer
 from .substring_dedup import one_array, packed, spread
@@ -165,19 +165,22 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "te
     return jaccard_groups(keyed(docs, text), k, percent).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
-def jaccard_groups(source: DataFrame, k: int, percent: int) -> DataFrame:
-    """What jaccard_join returns, with v and, as component, a number of the component (null for documents without words); source is keyed()."""
+def jaccard_groups(source: DataFrame, k: int, percent: int, by_id: bool = True) -> DataFrame:
+    """What jaccard_join returns, with v and, as component, a number of the component (null for documents without words); source is
+    keyed(). by_id: texts of one doc_id are tied; else each row is a document of its own."""
     at = materialise(identities(source, k), "jaccard-sets")
     full = at.where("n_shingles > 0")
     classes = full.groupBy(*IDENTITY).agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "v")).alias("r"))
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "low", F.col("r.doc_id").alias("doc_id"), F.col("r.v").alias("v"), *IDENTITY), "jaccard-classes")
     member = materialise(full.join(classes.select("node", "low", *IDENTITY), IDENTITY).select("doc_id", "v", "n_shingles", "node", "low"), "jaccard-members")
     sets = materialise(shared_sets(source, classes, k, percent), "jaccard-shared")
-    links = similar_pairs(sets, percent)
-    # Texts of one doc_id: each class but the least is tied to that.
-    several = member.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
-    same = member.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
-    label = materialise(connected_components(links.union(same)), "jaccard-labels")
+    scratch = [sets]
+    links = similar_pairs(sets, percent, scratch)
+    if by_id:  # each class of a doc_id but the least is tied to that
+        several = member.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+        links = links.union(member.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct())
+    label = connected_components(links)
+    discard(*scratch)
     # The least doc_id of each component, over its classes.
     named = label.join(classes.select("node", "low"), "node")
     named = named.join(named.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component_id", "component")
@@ -189,7 +192,7 @@ def jaccard_groups(source: DataFrame, k: int, percent: int) -> DataFrame:
 def one_of_each(docs: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
     """The rows of docs that stand for their component: the smallest doc_id's (rows without one come last, ties by a hash of the text).
     Documents without words all stay; rows that repeat a doc_id and its text stay one."""
-    groups = jaccard_groups(keyed(docs, text), k, percent)
+    groups = jaccard_groups(keyed(docs, text), k, percent, by_id=False)
     first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "v")).alias("r"))
     stays = first.select("r.doc_id", "r.v").union(groups.where("component is null").select("doc_id", "v").distinct())
     stays = stays.select(F.struct("doc_id", "v").alias("_near_key"))
@@ -197,8 +200,10 @@ def one_of_each(docs: DataFrame, k: int, percent: int, text: str = "text") -> Da
     return at.join(stays, "_near_key", "left_semi").dropDuplicates(["_near_key"]).select(*docs.columns)
 
 
-def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets (see shared_sets) that reach the threshold: as many as connect what links connect."""
+def similar_pairs(sets: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
+    """Pairs (a, b) of sets (see shared_sets) that reach the threshold: as many as connect what links connect.
+
+    scratch takes the tables that they are read from."""
     good = F.col("inter") * 100 >= F.col("union") * percent
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     # Sets that resemble each other mostly have a least shingle in common, by some of several hashes: the least node that has it is their centre.
@@ -208,6 +213,7 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
     tested = materialise(verify(pairs, sets, percent), "jaccard-tested")
     links = tested.where(good).select("a", "b")
     label = star_labels(links)
+    scratch += [tested, label]
     # Every set knows how far it is from its centres: |x - y| + |y - x| in shingles.
     away = tested.select("a", "b", (F.col("union") - F.col("inter")).alias("away"))
     away = away.select(F.col("b").alias("node"), F.col("a").alias("centre"), "away").union(away.select(F.col("a").alias("node"), F.col("a").alias("centre"), F.lit(0).cast("long")))
@@ -229,6 +235,7 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
     cross = cross.where(~F.coalesce(F.expr(far), F.lit(False)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     found = materialise(verify(cross, sets, percent), "jaccard-tested")
+    scratch += [known, open_, found]
     return links.union(found.where(good).select("a", "b"))
 
 
@@ -239,5 +246,6 @@ def star_labels(links: DataFrame) -> DataFrame:
     for _ in range(2):  # the least label among neighbours, then that one's own label
         near = both.join(label.select(F.col("node").alias("next"), "component"), "next").groupBy("node").agg(F.min("component").alias("component"))
         up = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        label = materialise(near.join(up, "component", "left").select("node", F.least("up", "component").alias("component")), "jaccard-labels")
+        last, label = label, materialise(near.join(up, "component", "left").select("node", F.least("up", "component").alias("component")), "jaccard-labels")
+        discard(last)
     return label

@@ -21,7 +21,7 @@ from collections import deque
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import materialise, shared_dir, shuffle_width
+from .common import discard, materialise, shared_dir, shuffle_width
 
 #: Classes of size in bytes, largest first; each is cut after the sums of the former are known.
 CLASSES = (16_384, 4_096, 1_024, 256, 0)
@@ -110,9 +110,10 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | None = N
     cls = F.lit(len(CLASSES) - 1)
     for c in reversed(range(len(CLASSES) - 1)):
         cls = F.when(F.col("size") >= CLASSES[c], F.lit(c)).otherwise(cls)
-    at = materialise(at.withColumn("_class", cls), "reshard-sizes")
+    sizes = materialise(at.withColumn("_class", cls), "reshard-sizes")
     # The running sum within (old shard, class) doesn't depend on the cuts: it is taken once.
-    at = materialise(running(at, ["old_shard", "_class"], F.col("size"), "_from", order), "reshard-order")
+    at = materialise(running(sizes, ["old_shard", "_class"], F.col("size"), "_from", order), "reshard-order")
+    discard(sizes)
     sums = {(r["old_shard"], r["_class"]): r["n"] for r in at.groupBy("old_shard", "_class").agg(F.sum("size").alias("n")).collect()}
     olds = sorted({o for o, _ in sums})
     supply = [sum(n for (o, _), n in sums.items() if o == old) for old in olds]
@@ -137,6 +138,7 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | None = N
                 need[r["old_shard"], r["_j"]] = need.get((r["old_shard"], r["_j"]), 0) - r["n"]
             need = balanced(need, {o: sum(sums.get((o, k), 0) for k in range(c + 1, len(CLASSES))) for o in olds}, olds)
     out = materialise(at.withColumn("shard", shard).drop("_from", "_class"), "reshard-placed")
+    discard(at)
     out = running(out, ["shard"], F.lit(1).cast("long"), "slot", order)
     return out.select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot", *key)
 

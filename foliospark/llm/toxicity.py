@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import blas  # noqa: F401
-from .common import materialise
+from .common import discard, materialise
 from .language_id import blocks, bucket_stream, text_buffer
 from .wordhash import word_table
 
@@ -285,6 +285,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT) -> DataFra
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", F.xxhash64("text")).agg(F.min("text").alias("text"))
     sample = materialise(sample.select("doc_id", "text", "label"), "toxicity-sample")
     net = fit_network(sample) if len(sizes) == 2 else None
+    discard(sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

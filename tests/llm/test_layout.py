@@ -54,6 +54,20 @@ def test_both_encoders_agree():
         assert (fast(t) == slow(t)).all(), repr(t)
 
 
+def test_the_faster_encoder_is_proven_on_every_character_it_gets():
+    """Each code point that may reach it, between letters, digits, marks and blanks."""
+    fast, slow = packing.encoder(VOCABULARY, RANKS), packing.encoder(VOCABULARY)
+    let = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000 and not packing._PLAIN.search(chr(k))]
+    assert 300 < len(let) < 1000
+    draw = random.Random(7)
+    for c in let:
+        for t in (c, c * 3, f"a{c}b", f"1{c}2", f" {c}", f"{c} ", f"x {c}{c} y", f".{c},", f"'{c}", f"\n{c}\t"):
+            assert fast(t).tolist() == slow(t).tolist(), repr(t)
+    for _ in range(3000):
+        t = "".join(draw.choice(let) for _ in range(draw.randrange(60)))
+        assert fast(t).tolist() == slow(t).tolist(), repr(t)
+
+
 def test_column_generation_reaches_the_bound():
     draw = np.random.default_rng(5)
     lengths, demand = list(range(1, 120)), draw.integers(1, 400, 119).tolist()

@@ -104,6 +104,33 @@ def test_quality_gam_on_held_out_rows(spark):
     assert kept.columns == docs.columns and kept.count() == got.where("score >= 0.5").count()
 
 
+def test_gam_scores_against_one_table_look_up_at_a_time():
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(400, 4))
+    x[:, 3] = np.round(x[:, 3])
+    model = gam.fit(x, (x[:, 0] * x[:, 1] + x[:, 3] > 0).astype(float), rounds=10, pair_rounds=10)
+    rows = np.vstack([x[:50], draw.normal(size=(50, 4)) * 5])
+    for row, got in zip(rows, model.score(rows)):
+        at = [sum(edge < value for edge in edges) for value, edges in zip(row, model.edges)]
+        z = model.bias + sum(t[b] for t, b in zip(model.tables, at))
+        for f, g, t in model.pairs:
+            z += t[at[f] * gam.COARSE // (len(model.edges[f]) + 1)][at[g] * gam.COARSE // (len(model.edges[g]) + 1)]
+        assert got == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_text_features_against_plain_python():
+    texts = ["", "A b, b. C!\nÀé 12 #x |", "word " * 20]
+    raw = [t.encode() for t in texts]
+    got = gam.features(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw]))
+    at = {n: got[:, k] for k, n in enumerate(gam.FEATURES)}
+    for i, t in enumerate(texts):
+        w = t.split()
+        assert at["log_words"][i] == pytest.approx(np.log1p(len(w))) and at["log_bytes"][i] == pytest.approx(np.log1p(len(raw[i])))
+        n = max(1, len(w))
+        assert at["bars"][i] == pytest.approx(t.count("|") / n) and at["lines"][i] == pytest.approx(t.count("\n") / n) and at["commas"][i] == pytest.approx(t.count(",") / n)
+        assert at["distinct"][i] == pytest.approx(len(set(w)) / n) and at["repeats"][i] == pytest.approx(sum(x == y for x, y in zip(w, w[1:])) / n)
+
+
 def test_gam_learns_an_interaction():
     draw = np.random.default_rng(0)
     x = draw.normal(size=(3000, 3))
