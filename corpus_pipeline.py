@@ -14,7 +14,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foliospark.llm.common import crc_mod, materialise, table
+from foliospark.llm.common import crc_mod, discard, materialise, table
 from foliospark.llm.decontaminate import decontaminate
 from foliospark.llm.jaccard_join import one_of_each
 from foliospark.llm.packing import pack
@@ -69,5 +69,6 @@ STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        last, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(last)
     return docs
