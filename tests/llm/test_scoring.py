@@ -222,10 +222,16 @@ def test_toxicity_finds_planted_texts(spark):
             for _ in range(5):
                 w[draw.randrange(len(w))] = "zzq" + word()
         rows.append((i, " ".join(w), int(i % 5 == 0)))
-    docs = spark.createDataFrame([(i, t, 9) for i, t, _ in rows] + [(5000, None, 1), (5001, "", 1)], "doc_id long, text string, label int")
-    got = {r.doc_id: r.score for r in tox.toxicity(docs, spark.createDataFrame([(i, k) for i, _, k in rows if i % 3] + [(3, None)], "doc_id long, label int")).collect()}
+    long, bad = [word() for _ in range(30_000)], " ".join("zzq" + word() for _ in range(6))
+    far = " ".join([*long[:20_000], bad, *long[20_000:]])
+    odd = [(5000, None, 1), (5001, "", 1), (5002, far, 1), (5003, " ".join(long), 1), (5004, bad, 1), (5004, bad, 1), (None, bad, 1)] + [(0, rows[0][1], 9)] * 300
+    docs = spark.createDataFrame([(i, t, 9) for i, t, _ in rows] + odd, "doc_id long, text string, label int")
+    found = tox.toxicity(docs, spark.createDataFrame([(i, k) for i, _, k in rows if i % 3] + [(3, None)] + [(1, rows[1][2])] * 50, "doc_id long, label int")).collect()
+    got = {r.doc_id: r.score for r in found}
+    assert len(found) == 1200 + len(odd) and len({(r.doc_id, r.score) for r in found}) == 1206  # repeated rows score alike
+    assert got[5002] >= 0.5 > got[5003] and got[5004] == got[None] >= 0.5
     held = [(got[i] >= 0.5) == bool(k) for i, _, k in rows if not i % 3]
-    assert len(got) == 1202 and np.mean(held) > 0.9 and 0 <= got[5000] <= 1
+    assert len(got) == 1206 and np.mean(held) > 0.9 and 0 <= got[5000] <= 1
 
 
 @pytest.mark.parametrize("run", ["x" * 65, "ab_" * 500, "日本語の文章" * 90, "é🙂a" * 200])
