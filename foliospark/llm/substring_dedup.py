@@ -70,7 +70,7 @@ class Segments:
         n = len(minimum)
         valid = owner[: n] == owner[SIZE - 1 :] if n else np.zeros(0, bool)
         new = np.ones(n, dtype=bool)
-        new[1:] = (minimum[1:] != minimum[:-1]) | (owner[1:n] != owner[: n - 1])
+        new[1:] = (minimum[1:] != minimum[:-1]) | (owner[1:n] != owner[: max(0, n - 1)])
         new &= valid
         self.at = np.flatnonzero(new)
         run = np.cumsum(new) - 1

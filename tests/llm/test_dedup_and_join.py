@@ -80,6 +80,13 @@ def test_substring_dedup_repeated_rows_null_ids_empty_table(spark):
     assert sub.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_substring_dedup_where_a_chunk_has_few_words(spark):
+    """Fewer words than a window in all: from none to nineteen, each alone in the table."""
+    for n in (0, 1, 2, 3, 16, 19, 20):
+        got = sub.substring_dedup(spark.createDataFrame([(n, " ".join(f"w{k}" for k in range(n)))], "doc_id long, text string")).collect()
+        assert [(r.doc_id, r.n_words, r.n_removed) for r in got] == [(n, n, 0)]
+
+
 def test_fm_index_counts_patterns():
     draw = np.random.default_rng(1)
     symbols = draw.integers(1, 6, 400)
