@@ -14,7 +14,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foliospark.llm.common import crc_mod, discard, materialise, table
+from foliospark.llm.common import compact, crc_mod, discard, materialise, table
 from foliospark.llm.decontaminate import decontaminate
 from foliospark.llm.jaccard_join import one_of_each
 from foliospark.llm.packing import pack
@@ -28,13 +28,13 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 3) != 1).select("doc_id", F.col("quality").alias("label"))
-    return quality_filter(docs, labels)
+    return compact(quality_filter(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents that share 0.8 of their runs of five words or more, the one with the smallest
     doc_id (then the smallest hash of the text); rows that repeat it stay one. Documents without words stay."""
-    return one_of_each(docs, k=5, percent=80)
+    return compact(one_of_each(docs, k=5, percent=80))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,18 +49,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn(at["n_chars"], F.when(F.col("n_removed") > 0, F.length(at["text"]).cast(kind)).otherwise(F.col(at["n_chars"])))
-    return out.select(*(F.col(n).alias(c) for c, n in at.items()))
+    return compact(out.select(*(F.col(n).alias(c) for c, n in at.items())))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs, however long they are."""
     leaks = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.struct("doc_id", F.col("text_hash").alias("v")).alias("_leak_key"))
-    return docs.withColumn("_leak_key", F.struct("doc_id", F.xxhash64("text").alias("v"))).join(leaks, "_leak_key", "left_anti").select(*docs.columns)
+    return compact(docs.withColumn("_leak_key", F.struct("doc_id", F.xxhash64("text").alias("v"))).join(leaks, "_leak_key", "left_anti").select(*docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return compact(pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("benchmark_leaks", benchmark_leaks), ("packing", packing)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.sizes import input_bytes, spread
@@ -73,3 +74,19 @@ PIECE_BYTES = 8 << 20
 def pieces(df: DataFrame, least: int = 1) -> int:
     """How many pieces to deal df to: by its bytes, and at least `least` for each shuffle partition."""
     return max(least * shuffle_width(df.sparkSession), -(-input_bytes(df) // PIECE_BYTES))
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """df, to be written: where the session's shuffle partitions are many times what its input asks for, its rows are dealt to two
+    partitions a core, or to as many as its input has pieces. What computes df keeps all its partitions.
+
+    On a local file system without Hadoop's native library each file that is written costs several processes, forked from the
+    executor, whose memory they share until they begin.
+    """
+    few = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // PIECE_BYTES))
+    return df.repartition(few) if 4 * few <= shuffle_width(df.sparkSession) else df
+
+
+def small_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    """A few rows from the driver. They go as Arrow: lists of rows would start Python workers on the executors, which then stay."""
+    return spark.createDataFrame(pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(columns.values())], list(columns)))

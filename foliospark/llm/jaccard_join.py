@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, materialise, pieces
+from .common import compact, discard, materialise, pieces
 from .components import connected_components
 from .language_id import blocks, text_buffer
 from .substring_dedup import one_array, packed, spread
@@ -168,12 +168,12 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "te
 def jaccard_groups(source: DataFrame, k: int, percent: int, by_id: bool = True) -> DataFrame:
     """What jaccard_join returns, with v and, as component, a number of the component (null for documents without words); source is
     keyed(). by_id: texts of one doc_id are tied; else each row is a document of its own."""
-    at = materialise(identities(source, k), "jaccard-sets")
+    at = materialise(compact(identities(source, k)), "jaccard-sets")
     full = at.where("n_shingles > 0")
-    classes = full.groupBy(*IDENTITY).agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "v")).alias("r"))
+    classes = compact(full.groupBy(*IDENTITY).agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "v")).alias("r")))  # numbered after that
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "low", F.col("r.doc_id").alias("doc_id"), F.col("r.v").alias("v"), *IDENTITY), "jaccard-classes")
-    member = materialise(full.join(classes.select("node", "low", *IDENTITY), IDENTITY).select("doc_id", "v", "n_shingles", "node", "low"), "jaccard-members")
-    sets = materialise(shared_sets(source, classes, k, percent), "jaccard-shared")
+    member = materialise(compact(full.join(classes.select("node", "low", *IDENTITY), IDENTITY).select("doc_id", "v", "n_shingles", "node", "low")), "jaccard-members")
+    sets = materialise(compact(shared_sets(source, classes, k, percent)), "jaccard-shared")
     scratch = [sets]
     links = similar_pairs(sets, percent, scratch)
     if by_id:  # each class of a doc_id but the least is tied to that
@@ -210,7 +210,7 @@ def similar_pairs(sets: DataFrame, percent: int, scratch: list[DataFrame]) -> Da
     led = sets.select("node", "n", "typical", F.explode("leads").alias("lead"))
     centre = led.groupBy("lead").agg(F.max(F.struct("typical", "node", "n")).alias("m"), F.count("*").alias("many")).where("many > 1").select("lead", F.col("m.node").alias("a"), F.col("m.n").alias("na"))
     pairs = led.select("lead", F.col("node").alias("b"), F.col("n").alias("nb")).join(centre, "lead").where("a <> b").select("a", "b").distinct()
-    tested = materialise(verify(pairs, sets, percent), "jaccard-tested")
+    tested = materialise(compact(verify(pairs, sets, percent)), "jaccard-tested")
     links = tested.where(good).select("a", "b")
     label = star_labels(links)
     scratch += [tested, label]
@@ -218,12 +218,13 @@ def similar_pairs(sets: DataFrame, percent: int, scratch: list[DataFrame]) -> Da
     away = tested.select("a", "b", (F.col("union") - F.col("inter")).alias("away"))
     away = away.select(F.col("b").alias("node"), F.col("a").alias("centre"), "away").union(away.select(F.col("a").alias("node"), F.col("a").alias("centre"), F.lit(0).cast("long")))
     away = away.groupBy("node").agg(F.collect_set(F.struct("centre", "away")).alias("from"))
-    known = materialise(sets.select("node", "n", "alone", "shared").join(label, "node", "left").join(away, "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-known")
+    known = sets.select("node", "n", "alone", "shared").join(label, "node", "left").join(away, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = materialise(compact(known), "jaccard-known")
     prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")).cast("int")
     lists = known.select("node", "n", "alone", "component", "from", F.floor(F.log2(F.col("n"))).cast("int").alias("block"), F.posexplode(F.slice("shared", F.lit(1), prefix)).alias("pos", "token"))
     # Lists whose sets are all in one component are skipped.
     open_ = lists.join(lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token"), "token", "left_semi")
-    open_ = materialise(open_.withColumn("left", F.col("n") - F.col("alone") - F.col("pos")), "jaccard-open")
+    open_ = materialise(compact(open_.withColumn("left", F.col("n") - F.col("alone") - F.col("pos"))), "jaccard-open")
     side = lambda s: [F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"left{s}"), F.col("component").alias(f"c{s}"), F.col("from").alias(f"f{s}"), F.col("alone").alias(f"s{s}")]
     # The smaller set a of a pair shares 2 percent / (100 + percent) of itself at least, which its later places can't; b is in its block of sizes or the next.
     smaller = open_.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).select("token", *side("a"), F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
@@ -234,7 +235,7 @@ def similar_pairs(sets: DataFrame, percent: int, scratch: list[DataFrame]) -> Da
     far = f"exists(fa, x -> exists(fb, y -> x.centre = y.centre and (x.away + y.away - 2 * greatest(0, least(x.away - sa, y.away - sb))) * {100 + percent} > (na + nb) * {100 - percent}))"
     cross = cross.where(~F.coalesce(F.expr(far), F.lit(False)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = materialise(verify(cross, sets, percent), "jaccard-tested")
+    found = materialise(compact(verify(cross, sets, percent)), "jaccard-tested")
     scratch += [known, open_, found]
     return links.union(found.where(good).select("a", "b"))
 
@@ -242,10 +243,10 @@ def similar_pairs(sets: DataFrame, percent: int, scratch: list[DataFrame]) -> Da
 def star_labels(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes of links: equal components are connected, though not all that are connected have equal ones."""
     both = links.union(links.select("b", "a")).toDF("node", "next")
-    label = materialise(both.groupBy("node").agg(F.least("node", F.min("next")).alias("component")), "jaccard-labels")
+    label = materialise(compact(both.groupBy("node").agg(F.least("node", F.min("next")).alias("component"))), "jaccard-labels")
     for _ in range(2):  # the least label among neighbours, then that one's own label
         near = both.join(label.select(F.col("node").alias("next"), "component"), "next").groupBy("node").agg(F.min("component").alias("component"))
         up = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        last, label = label, materialise(near.join(up, "component", "left").select("node", F.least("up", "component").alias("component")), "jaccard-labels")
+        last, label = label, materialise(compact(near.join(up, "component", "left").select("node", F.least("up", "component").alias("component"))), "jaccard-labels")
         discard(last)
     return label

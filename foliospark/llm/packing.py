@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, shuffle_width
+from .common import compact, materialise, shuffle_width, small_table
 from .reshard import running
 
 SIZE, END_ID = 1024, 0
@@ -194,7 +194,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, text: str =
 
     at = source.mapInArrow(count, "doc_id long, doc_tokens long, crcs array<bigint>")
     at = at.withColumn("_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(16, shuffle_width(spark)))).cast("int"))
-    at = materialise(at.withColumn("r", F.pmod("doc_tokens", F.lit(size // 2)).cast("int")), "pack-counts")
+    at = materialise(compact(at.withColumn("r", F.pmod("doc_tokens", F.lit(size // 2)).cast("int"))), "pack-counts")
     deals, rest, sequences, over = plan({r["r"]: r["n"] for r in at.where("r > 0").groupBy("r").agg(F.count("*").alias("n")).collect()}, size)
     full_from = sequences + -(-over // size)
 
@@ -210,8 +210,8 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, text: str =
     ranked = running(at.where("r > 0"), ["r"], F.lit(1).cast("long"), "rank", order)
     ranked = ranked.select("doc_id", "doc_tokens", "r", "rank", F.element_at("crcs", -1).alias("crc"), (F.col("doc_tokens") - F.col("r")).alias("start"))
     # At most size / 2 - 1 lengths times the patterns that hold one: bounded, whatever the corpus.
-    dealt = spark.createDataFrame(deals, "n int, low long, high long, a long, first long, at long")
-    left = spark.createDataFrame([(n, low, place) for n, (low, place) in rest.items()], "n int, low long, place long")
+    dealt = small_table(spark, deals, n=pa.int32(), low=pa.int64(), high=pa.int64(), a=pa.int64(), first=pa.int64(), at=pa.int64())
+    left = small_table(spark, [(n, low, place) for n, (low, place) in rest.items()], n=pa.int32(), low=pa.int64(), place=pa.int64())
     in_patterns = ranked.join(F.broadcast(dealt), (F.col("r") == F.col("n")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     k = F.col("rank") - F.col("low")
     in_patterns = in_patterns.select("doc_id", "start", F.col("r").cast("long").alias("length"), F.col("crc").alias("ids_crc32"), "doc_tokens", (F.col("first") + F.floor(k / F.col("a"))).cast("long").alias("sequence_id"), (F.col("at") + F.pmod(k, F.col("a")) * F.col("r")).cast("long").alias("offset"))
@@ -226,7 +226,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, text: str =
 
 def _cut_pieces(source: DataFrame, cut: list[tuple], vocabulary: str, ranks: str | None, size: int) -> DataFrame:
     """Encode the documents that are cut once more, for the checksums of both parts."""
-    wanted = source.sparkSession.createDataFrame([(c[0], list(c[1:])) for c in cut], "id long, how array<bigint>").groupBy("id").agg(F.collect_list("how").alias("how"))
+    wanted = small_table(source.sparkSession, [(c[0], list(c[1:])) for c in cut], id=pa.int64(), how=pa.list_(pa.int64())).groupBy("id").agg(F.collect_list("how").alias("how"))
     texts = source.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", "how")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 

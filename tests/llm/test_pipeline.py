@@ -101,6 +101,37 @@ def test_every_stage_on_odd_rows(spark):
     assert len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces) and sum(r.start == 0 for r in pieces) == len(rows)
 
 
+def test_small_inputs_are_not_written_as_heaps_of_tiny_files(spark, monkeypatch):
+    """Far more shuffle partitions than the input asks for: no table of near_duplicates, no stage's result has a file for each."""
+    from foliospark.llm import common, components, jaccard_join
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    files = []
+
+    def counted(df, tag):
+        out = common.materialise(df, tag)
+        files.append((len(out.inputFiles()), tag))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", counted)
+    monkeypatch.setattr(components, "materialise", counted)
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = counted(corpus_pipeline.near_duplicates(spark, docs, SF), "near_duplicates")
+        counted(corpus_pipeline.repeated_passages(spark, got, SF), "repeated_passages")
+        counted(corpus_pipeline.benchmark_leaks(spark, got, SF), "benchmark_leaks")
+        counted(corpus_pipeline.packing(spark, got, SF), "packing")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id for r in got.collect()} == plain and len(files) > 10
+    assert max(files)[0] <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_pipeline_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
