@@ -70,7 +70,7 @@ def dice(*key: Column | str, salt: str) -> Column:
 
 def roll(dice_: Column, k: int, n: Column | int) -> Column:
     """A whole number from 0 to n - 1, of the k-th draw of dice."""
-    return F.floor(F.conv(F.substring(dice_, 8 * k + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) * n).cast("int")
+    return F.floor(F.conv(F.substring(dice_, 8 * k + 1, 8), 16, 10).cast("long").cast("double") / F.lit(4294967296.0) * n).cast("int")
 
 
 def hits(dice_: Column, k: int, p: float) -> Column:

@@ -134,12 +134,21 @@ def add(w: Column, d: Column) -> Column:
 
 def swap(w: Column, d: Column) -> Column:
     """Two different places change letters; the second is drawn among the others, so no draw is thrown away."""
-    n = F.length(w)
+    return exchange(w, *places(w, d))
+
+
+def places(w: Column, d: Column) -> tuple[Column, Column]:
+    n = F.greatest(F.length(w), F.lit(1))
     i = roll(d, PLACE, n)
-    j = F.pmod(i + 1 + roll(d, OTHER, n - 1), n)
+    return i, F.pmod(i + 1 + roll(d, OTHER, n - 1), n)
+
+
+def exchange(w: Column, i: Column, j: Column) -> Column:
+    """w with its letters at i and j exchanged. The condition names each of both twice, outside of any branch: so Spark computes them,
+    and the digest below them, once a row and not at each mention in the branch."""
     a, b = F.least(i, j), F.greatest(i, j)
     at = lambda k: F.substring(w, k + 1, F.lit(1))
-    return F.when(n > 1, F.concat(F.substring(w, F.lit(1), a), at(b), F.substring(w, a + 2, b - a - 1), at(a), F.substring(w, b + 2, n))).otherwise(w)
+    return F.when(a < b, F.concat(F.substring(w, F.lit(1), a), at(b), F.substring(w, a + 2, b - a - 1), at(a), F.substring(w, b + 2, F.length(w)))).otherwise(w)
 
 
 def introduce(w: Column, d: Column) -> Column:

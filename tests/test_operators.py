@@ -102,6 +102,14 @@ def test_noise(spark):
     assert abs(sum(w != "word" for w in changed) / 20_000 - 0.1) < 0.02
 
 
+def test_a_swap_takes_one_digest(spark):
+    rows = spark.range(4).select("id", F.element_at(F.array(F.lit("ab"), F.lit("a"), F.lit(""), F.lit(None).cast("string")), (F.col("id") + 1).cast("int")).alias("w"))
+    got = rows.select("id", E.noise_swap(F.col("w"), F.col("id")).alias("w"))
+    assert [r.w for r in got.orderBy("id").collect()] == ["ba", "a", "", None]
+    plan = got._jdf.queryExecution().executedPlan()
+    assert getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package").codegenString(plan).count("md5Hex") == 1
+
+
 def test_markers_fragments_and_templates(spark):
     assert one(spark, "a_START_ARTICLE_b _NEWLINE__NEWLINE_ _lower_ __", E.remove_markers) == "a b _lower_ __"
     assert one(spark, "One. Two. Three", E.drop_fragment) == "One. Two." and one(spark, "None", E.drop_fragment) == "None" and one(spark, "End. ", E.drop_fragment) == "End."
