@@ -33,7 +33,7 @@ def line_stats(lines: DataFrame, keys: list[str], factor: float = 0.5, default:
 
 
 def dot_dash(line: Column) -> Column:
-    return (F.length(line) - F.length(F.translate(line, ".-", ""))).cast("long")
+    return (F.length(line) - F.length(F.replace(F.replace(line, F.lit("."), F.lit("")), F.lit("-"), F.lit("")))).cast("long")
 
 
 def classify(line: Column, threshold: Column, max_dot_dash: int = 5) -> Column:
@@ -82,7 +82,7 @@ def concat_paragraphs(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def clean_whitespace(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(line, " +", " "), "\t+", "")
+    return F.replace(F.regexp_replace(line, " {2,}", " "), F.lit("\t"), F.lit(""))
 
 
 def drop_blank(lines: DataFrame) -> DataFrame:

@@ -154,3 +154,23 @@ def test_strip_split_and_roman_on_any_characters(spark):
     got = rows.select("i", T.strip(F.col("t")).alias("s"), T.words(F.col("t")).alias("w"), T.is_roman(F.col("t")).alias("r")).collect()
     for r in got:
         assert r.s == texts[r.i].strip() and r.w == texts[r.i].split() and r.r == bool(re.fullmatch(ROMAN, texts[r.i].strip(), re.I) and "ı" not in texts[r.i])
+
+
+def test_blanks_are_the_class(spark):
+    every = spark.range(0x110000).where("not id between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    assert sorted(r.c for r in every.where(F.col("c").rlike(rf"\A[{T.WS}]\z")).collect()) == sorted(T.BLANKS) == sorted(r.c for r in every.where(F.col("c").rlike(rf"\A{T.BLANK}\z")).collect())
+
+
+def test_texts_are_stripped_and_split_as_by_patterns(spark):
+    some = random.Random(5)
+    odd = ["", None, T.BLANKS, "a", f"{T.BLANKS}é{T.BLANKS}\U0001f600 {T.BLANKS}", "﻿a​", *("".join(some.choices([*T.BLANKS, "a", "é", "~", "!", "\x7f", "​"], k=12)) for _ in range(400))]
+    c, w = F.col("t"), f"[{T.WS}]"
+    pairs = {"strip": (T.strip(c), F.regexp_replace(c, rf"^{w}+|{w}+\z", "")), "lstrip": (T.lstrip(c), F.regexp_replace(c, f"^{w}+", "")), "words": (T.words(c), F.array_remove(F.split(c, f"{w}+"), "")),
+             "squeeze": (T.squeeze(c), F.regexp_replace(F.regexp_replace(c, f"{w}+", " "), r"^ | \z", "")), "tidy": (L.clean_whitespace(c), F.regexp_replace(F.regexp_replace(c, " +", " "), "\t+", "")), "dots": (L.dot_dash(F.concat(c, F.lit(".-."), c)), F.lit(3).cast("long") + F.length(c) - F.length(c))}
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select("t", *(F.struct(a.alias("a"), b.alias("b")).alias(k) for k, (a, b) in pairs.items())).collect()
+    assert len(rows) == len(odd) and all(r[k].a == r[k].b for r in rows for k in pairs)
+
+
+def test_ends_are_found_without_a_pattern(spark):
+    plan = L.clean_lines(L.split_lines(spark.range(1).select("id", F.lit("a").alias("text")), ["id"]), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert rf"[{T.WS}]+\z" not in plan
