@@ -7,6 +7,7 @@ twin beside it.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -67,6 +68,11 @@ def greedy_ends(sizes: str, cap: int, alone: bool = False) -> Column:
     return F.expr(f"transform(filter(split(aggregate(sequence(0, greatest(size({sizes}) - 1, 0) div 512), struct('' as e, 0L as n, 0 as o), (s, k) -> {run}, s -> {last}), ','), e -> e <> ''), e -> int(e))")
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value evaluated once however often f names it; for functions of lambdas, whose other parts Spark doesn't share."""
+    return F.transform(F.array(value), f)[0]
+
+
 def dice(*key: Column | str, salt: str) -> Column:
     """32 hexadecimal digits that depend on the key and the salt alone: four draws, of eight digits each."""
     return F.md5(F.concat_ws(":", F.lit(salt), *(F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in key)))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions.text import TAGS, greedy_ends, squeeze, token_length, words
+from ..functions.text import TAGS, greedy_ends, let, squeeze, token_length, words
 
 #: Fixed value: the correction prompt, before and after a batch.
 PROMPT = ("<|system|>\nCorrect the spelling mistakes and find the book sections in the following sentences. Do not change content or do not add any extra sentences.<|endoftext|>\n<|user|>\n", "<|endoftext|>\n<|assistant|>\n")
@@ -93,7 +93,7 @@ def normalise(text: Column, markers: tuple[str, ...] = TAGS) -> Column:
     for m in markers:
         text = F.replace(text, F.lit(m), F.lit(" "))
     text = F.replace(F.replace(text, F.lit("- "), F.lit("-")), F.lit("…"), F.lit("..."))
-    return squeeze(F.regexp_replace(text, r"(?<=\.)([A-Z])", " $1"))
+    return squeeze(F.regexp_replace(text, r"\.([A-Z])", ". $1"))
 
 
 @F.pandas_udf(StructType([StructField(n, IntegerType()) for n in ("fails", "ratio", "last")]))
@@ -124,7 +124,7 @@ def prefix_scored(pairs: DataFrame, a: Column, b: Column, threshold: int = 90, f
     """
     some = lambda c: words(F.coalesce(c, F.lit("")))
     at = pairs.select("*", some(a).alias("_a"), some(b).alias("_b")).withColumn("_n", F.least(F.size("_a"), F.size("_b")))
-    at = at.withColumn("_d", F.expr("filter(transform(slice(_a, 1, _n), (x, i) -> struct(i, x, _b[i] as y)), p -> p.x <> p.y and lower(p.x) <> lower(p.y))"))
+    at = at.withColumn("_d", F.expr("filter(transform(slice(_a, 1, _n), (x, i) -> if(x = _b[i] or lower(x) = lower(_b[i]), null, struct(i, x, _b[i] as y))), p -> p is not null)"))
     if fuzzy:
         at = at.withColumn("_f", first_failure(F.col("_d.x"), F.col("_d.y"), F.lit(threshold)))
     else:
@@ -167,8 +167,8 @@ def mean_pool(rows: DataFrame, key: str, vector: str, order: str | None = None,
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity in double precision; 0 beside a zero vector, null beside a null."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(norm == 0, F.lit(0.0)).otherwise(dot(a, b) / norm)
+    ratio = lambda x, y, norm: F.when(norm == 0, F.lit(0.0)).otherwise(dot(x, y) / norm)
+    return let(a, lambda x: let(b, lambda y: let(F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)), lambda norm: ratio(x, y, norm))))
 
 
 def result_records(done: DataFrame, *keep: str) -> DataFrame:

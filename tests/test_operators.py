@@ -110,6 +110,20 @@ def test_a_swap_takes_one_digest(spark):
     assert getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package").codegenString(plan).count("md5Hex") == 1
 
 
+def test_a_cosine_takes_each_vector_once(spark):
+    rows = spark.createDataFrame([([1.0, 2.0], [2.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0]), ([1.0, 1.0], None)], "x array<double>, y array<double>")
+    got = rows.select(G.cosine(F.reverse("x"), F.reverse("y")).alias("c"))
+    assert [r.c if r.c is None else round(r.c, 9) for r in got.collect()] == [0.8, 0.0, None, None]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 2
+
+
+def test_capitals_and_words_that_differ(spark):
+    assert one(spark, "a.B.C..D. E.\u00c9.f .A", G.normalise) == "a. B. C.. D. E.\u00c9.f . A"
+    rows = spark.createDataFrame([(1, "a B c d", "A b c x"), (2, "a", None), (3, "a b", "a b c"), (4, "a x b", "a y B")], "k int, a string, b string")
+    got = {r.k: (r.match_count, r.matched_chars, r.last_match_ratio) for r in G.prefix_score(rows, ["k"], "a", "b", fuzzy=False).collect()}
+    assert got == {1: (3, 3, 0), 2: (0, 0, 0), 3: (2, 2, 100), 4: (1, 1, 0)}
+
+
 def test_markers_fragments_and_templates(spark):
     assert one(spark, "a_START_ARTICLE_b _NEWLINE__NEWLINE_ _lower_ __", E.remove_markers) == "a b _lower_ __"
     assert one(spark, "One. Two. Three", E.drop_fragment) == "One. Two." and one(spark, "None", E.drop_fragment) == "None" and one(spark, "End. ", E.drop_fragment) == "End."
