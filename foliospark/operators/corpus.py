@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import MARKERS, TAGS, dice, draw, greedy_ends, hits, roll, squeeze, token_length, words
+from ..functions.text import MARKERS, TAGS, dice, draw, greedy_ends, hits, let, roll, squeeze, token_length, words
 
 ARTICLE, SECTION, PARAGRAPH, _ = TAGS
 #: What a word may be prefixed with (LF FF VT BEL CR TAB BS), and the kinds of noise.
@@ -153,15 +153,18 @@ def exchange(w: Column, i: Column, j: Column) -> Column:
 
 def introduce(w: Column, d: Column) -> Column:
     """w changed by the kind of noise that its dice choose."""
-    kind = roll(d, KIND, len(KINDS))
-    return F.when(kind == 0, remove(w, d)).when(kind == 1, add(w, d)).when(kind == 2, swap(w, d)).otherwise(special(w, d))
+    kinds = lambda kind: F.when(kind == 0, remove(w, d)).when(kind == 1, add(w, d)).when(kind == 2, let(F.struct(*(x.alias(n) for x, n in zip(places(w, d), "ij"))), lambda p: exchange(w, p["i"], p["j"]))).otherwise(special(w, d))
+    return let(roll(d, KIND, len(KINDS)), kinds)
 
 
 def noisy(text: Column, key: Column, p: float = 0.1) -> Column:
-    """Each word, with probability p, changed by one kind of noise; words joined by single blanks. One digest a word
-    serves all its draws."""
-    diced = F.transform(words(text), lambda w, i: F.struct(w.alias("w"), dice(key, i, salt="noise").alias("d")))
-    return F.array_join(F.transform(diced, lambda x: F.when(hits(x["d"], APPLY, p), introduce(x["w"], x["d"])).otherwise(x["w"])), " ")
+    """Each word, with probability p, changed by one kind of noise; words joined by single blanks. One digest tells whether a word is
+    changed, and is made again for all draws of those that are; what the digests of a text begin with is made once."""
+    def one(start: Column) -> Column:
+        dice_ = lambda i: F.md5(F.concat(start, i.cast("string")))  # noqa: E731  # dice(key, i, salt="noise")
+        return F.array_join(F.transform(words(text), lambda w, i: F.when(hits(dice_(i), APPLY, p), let(dice_(i), lambda d: introduce(w, d))).otherwise(w)), " ")
+
+    return let(F.concat(F.concat_ws(":", F.lit("noise"), key.cast("string")), F.lit(":")), one)
 
 
 def noise_pairs(samples_: DataFrame, key: str, text: str, p: float = 0.1) -> DataFrame:

@@ -110,6 +110,20 @@ def test_a_swap_takes_one_digest(spark):
     assert getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package").codegenString(plan).count("md5Hex") == 1
 
 
+def test_noise_names_its_draws_once(spark):
+    from hashlib import md5
+
+    text = " ".join(f"word{i}" for i in range(600))
+    rows = spark.createDataFrame([(7, text), (None, text), (8, ""), (9, None)], "k int, t string")
+    got = rows.select("k", E.noisy(F.col("t"), F.col("k")).alias("n"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("conv(") < 12
+    found = {r.k: r.n for r in got.collect()}
+    assert found[8] == "" and found[9] is None
+    for k, start in ((7, "noise:7:"), (None, "noise:")):
+        hit = {i for i in range(600) if int(md5(f"{start}{i}".encode()).hexdigest()[:8], 16) < 0.1 * 2**32}
+        assert {i for i, (a, b) in enumerate(zip(found[k].split(" "), text.split(" "))) if a != b} == hit
+
+
 def test_a_cosine_takes_each_vector_once(spark):
     rows = spark.createDataFrame([([1.0, 2.0], [2.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0]), ([1.0, 1.0], None)], "x array<double>, y array<double>")
     got = rows.select(G.cosine(F.reverse("x"), F.reverse("y")).alias("c"))
