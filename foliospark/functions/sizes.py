@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 
 #: An input with fewer bytes than this for each core has fewer row groups than there are cores.
 SPLIT_BYTES = 16 << 20
+#: So many bytes of files of texts make a piece whose words' counts fit a small table.
+PIECE_BYTES = 8 << 20
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -20,3 +22,10 @@ def spread(df: DataFrame) -> DataFrame:
     left as it is. No job runs."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if 0 < input_bytes(df) < cores * SPLIT_BYTES and len(df.inputFiles()) < cores else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df, dealt to pieces of PIECE_BYTES of its input where the parts that it is read in may be larger: for steps whose tasks keep a
+    table of all that they read. No job runs."""
+    pieces = -(-input_bytes(df) // PIECE_BYTES)
+    return df.repartition(pieces) if pieces > df.sparkSession.sparkContext.defaultParallelism else df

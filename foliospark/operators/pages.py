@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.sizes import dealt
 from ..functions.text import dictionary_tokens, strip
 
 #: Dictionaries up to this many words are broadcast; larger ones are joined by a shuffle.
@@ -20,7 +21,10 @@ def build_dictionary(*sources: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_counts(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    return pages.select(*keys, F.explode(dictionary_tokens(F.col(text))).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    """keys, word and n: how often each token occurs under its keys. A task counts what it reads before that is shuffled, so large
+    inputs are dealt to small pieces first: the table of a task doesn't grow with them, nor with the size of a split."""
+    tokens = dealt(pages.select(*dict.fromkeys([*keys, text]))).select(*keys, F.explode(dictionary_tokens(F.col(text))).alias("word"))
+    return tokens.groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 
 def valid_word_ratio(pages: DataFrame, dictionary: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -307,6 +307,21 @@ def test_streamed_results_come_once(spark, tmp_path):
     assert sorted(r.batch_index for r in spark.read.parquet(out).collect()) == [0, 1, 2]
 
 
+def test_words_of_large_inputs_are_counted_in_small_pieces(spark, tmp_path, monkeypatch):
+    from foliospark.functions import sizes
+
+    rows = [(k % 40 if k % 5 else None, f"w{chr(97 + k % 7)} Some words {'x' * (k % 4)} w{chr(97 + k % 3)}") for k in range(400)]
+    spark.createDataFrame(rows, "doc_id int, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    pages = spark.read.parquet(str(tmp_path / "d"))
+    count = lambda: B.word_counts(pages, ["doc_id"])
+    whole = count()
+    assert "Repartition" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(sizes, "PIECE_BYTES", -(-sizes.input_bytes(pages) // 9), raising=False)
+    parts = count()
+    assert "Repartition 9" in parts._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect())) and sum(r.n for r in parts.collect()) == sum(len([w for w in t.split() if len(w) > 1]) for _, t in rows)
+
+
 def test_partitions_do_not_matter(spark):
     rows = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), "id").alias("t"))
     found = [sorted(map(tuple, E.noise_pairs(rows.repartition(n), "doc_id", "t").collect())) for n in (1, 7)]
